@@ -17,6 +17,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("text_id"))
 
 
+_TERM_FIELDS = ["span_text", "regex_match_text"]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_terms(spark, sf_dir).where("mark is not null").select("field_name", "term", "mark")
+
+
+def p2_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct value of both fields with its occurrences, records and mark."""
+    from .terms import term_counts
+
+    return term_counts(_table(spark, sf_dir, "search_corpus"), _TERM_FIELDS)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .dedupe_exact import duplicate_sets
 
@@ -64,9 +78,123 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_report(*overlaps(_table(spark, sf_dir, "df003_gold_50")))
 
 
+_SAMPLE = ["batch_id_prefix", "schedule_id"]
+
+
+def _sampled(spark: SparkSession, sf_dir: str) -> tuple:
+    from .sampling import Population, manifest_wants, plan
+
+    population = Population(_table(spark, sf_dir, "search_corpus"), "text_id", "corpus_domain")
+    wants = manifest_wants(_table(spark, sf_dir, "example_making_manifest"), _table(spark, sf_dir, "domain_minimums"))
+    return population, plan(wants, population.sizes)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_report(spark, sf_dir).where("short").select(*_SAMPLE, "corpus_domain")
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each manifest and schedule wanted of each domain, what was there and what was drawn."""
+    from .sampling import report
+
+    return report(spark, _sampled(spark, sf_dir)[1], _SAMPLE).withColumnRenamed("category", "corpus_domain")
+
+
+def p6_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drawn texts of every manifest and schedule."""
+    from .sampling import draw
+
+    drawn = draw(*_sampled(spark, sf_dir), _SAMPLE)
+    return drawn.withColumnRenamed("category", "corpus_domain").withColumnRenamed("id", "text_id")
+
+
+_STRATA = ["pattern_type", "gold_example_role"]
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .grouped_split import torn
+
+    return torn(_table(spark, sf_dir, "df003_gold_50")).withColumnRenamed("id", "example_id")
+
+
+def p7_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new split for every gold record, no group torn."""
+    from .grouped_split import split_groups, targets_of
+
+    targets = targets_of(_table(spark, sf_dir, "split_targets"))
+    return split_groups(_table(spark, sf_dir, "df003_gold_50"), targets, _STRATA).withColumnRenamed("id", "example_id")
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of the new split beside the wanted ones."""
+    from .grouped_split import split_report, targets_of
+
+    return split_report(spark, p7_split(spark, sf_dir), targets_of(_table(spark, sf_dir, "split_targets")))
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every text, or piece of an overlong text, goes for each kind of container."""
+    from .packing import pack
+
+    packed = pack(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pack_containers"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used and their fill."""
+    from .packing import pack_report
+
+    return pack_report(p8_packed(spark, sf_dir), _table(spark, sf_dir, "pack_containers"))
+
+
+def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of every mix with their repeats."""
+    from .mixing import mix
+
+    mixed, _ = mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+    return mixed.select("mix_id", F.col("id").alias("doc_id"), "tokens", "repeats")
+
+
+def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual beside wanted shares of every mix."""
+    from .mixing import mix, mix_report
+
+    return mix_report(*mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets")))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .residue import residue
+
+    return residue(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean rest of the documents."""
+    from .residue import residue, without_residue
+
+    docs = _table(spark, sf_dir, "documents")
+    return without_residue(docs, residue(docs)).select("doc_id", "source", "n_chars")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that need neither NFKC nor an iterative or random method."""
+    return {"p6_found": _P6}
+
+
+_TRIM = r"lower(regexp_replace({}, '^[\s\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+|[\s\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+$', '', 'g'))"
+_P6 = f"""
+WITH sizes AS (SELECT {_TRIM.format("corpus_domain")} AS d, count(DISTINCT text_id) AS n FROM search_corpus GROUP BY 1),
+plans AS (
+  SELECT batch_id_prefix, 'base' AS schedule_id, sampling AS want, NULL AS skip FROM example_making_manifest
+  UNION ALL
+  SELECT batch_id_prefix, s.schedule_id, s.sampling, s.rank_start_offsets FROM (SELECT batch_id_prefix, unnest(sampling_schedules) AS s FROM example_making_manifest)),
+wants AS (SELECT batch_id_prefix, schedule_id, {_TRIM.format("e.key")} AS d, sum(coalesce(e.value, 0)) AS n FROM (SELECT batch_id_prefix, schedule_id, unnest(map_entries(want)) AS e FROM plans) GROUP BY 1, 2, 3),
+skips AS (SELECT batch_id_prefix, schedule_id, {_TRIM.format("e.key")} AS d, max(coalesce(e.value, 0)) AS o FROM (SELECT batch_id_prefix, schedule_id, unnest(map_entries(skip)) AS e FROM plans WHERE skip IS NOT NULL) GROUP BY 1, 2, 3)
+SELECT w.batch_id_prefix, w.schedule_id, w.d AS corpus_domain
+FROM wants w LEFT JOIN skips k USING (batch_id_prefix, schedule_id, d) LEFT JOIN sizes z USING (d)
+WHERE w.d <> '' AND coalesce(z.n, 0) < w.n + coalesce(k.o, 0)
+"""
