@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.textfn import trim_ws
 from ..session import Scratch
 from .history import LIMIT, RECALL, SKETCH_MIN, TARGET
 from .minhash import bit_sketch, signatures, tree_keys, trees_needed
@@ -33,7 +34,7 @@ ROWS_PER_BAND = 3
 
 def clean_split(split: Column) -> Column:
     """train, dev or test; null for anything else."""
-    s = F.lower(F.regexp_replace(split, r"^[\s 　]+|[\s 　]+$", ""))
+    s = F.lower(trim_ws(split))
     return F.when(s.isin("train", "training"), "train").when(s.isin("dev", "val", "valid", "validation"), "dev").when(s == "test", "test")
 
 

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.textfn import WS
 from ..session import Scratch
 
 MOST_WANTS = 100_000  # rows of wants that may reach the driver
@@ -42,7 +43,7 @@ class Want:
 
 def clean_name(name: Column) -> Column:
     """Trimmed and lower-cased; null for a blank name."""
-    ws = r"[\t-\r\x1c-\x20\x85\xa0   -     　]+"
+    ws = f"[{WS}]+"
     return F.nullif(F.lower(F.regexp_replace(name, f"^{ws}|{ws}$", "")), F.lit(""))
 
 

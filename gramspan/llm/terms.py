@@ -15,15 +15,16 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ..functions.textfn import WS
 from ..session import Scratch
 from .textform import STABLE, look
 
 RARE, COMMON = 2, 200  # rare: in at most RARE records; common: in more than one record in COMMON
-_WS = r"[\t-\r\x1c-\x20\x85\xa0   -     　]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _look(s: pd.Series) -> pd.Series:
     return s.map(look, na_action="ignore")
 
@@ -32,7 +33,7 @@ def term(value: Column) -> Column:
     """The term of a value. Only values beyond ASCII and composed Hangul go through Python."""
     odd = ~value.rlike(STABLE)
     seen = F.coalesce(_look(F.when(odd, value)), F.when(~odd, value))
-    return F.trim(F.regexp_replace(F.lower(seen), _WS, " "))
+    return F.trim(F.regexp_replace(F.lower(seen), f"[{WS}]+", " "))
 
 
 def term_counts(df: DataFrame, fields: list[str], id_col: str = "text_id", hit_col: str = "hit_id", rare: int = RARE, common: int = COMMON) -> DataFrame:

@@ -21,6 +21,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import Scratch
 from .skew import hot_keys, sliced_join
@@ -62,7 +63,7 @@ def _mark_class() -> str:
     return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _recompose(s: pd.Series) -> pd.Series:
     table = str.maketrans(LOOKALIKES)
 
