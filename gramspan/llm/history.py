@@ -73,7 +73,7 @@ class Forest:
     """Shape of the forest for an index of about ``n`` cores."""
 
     def __init__(self, n: int, target: float = TARGET, recall: float = RECALL):
-        self.depth = max(3, math.ceil(math.log(max(n, 1)) / math.log(100)))  # 100: background likeness of some 0.01 to 0.1, cubed, a key
+        self.depth = max(3, math.ceil(math.log(max(n, 1)) / math.log(150)))  # a level thins chance meetings of one text some 150 times
         self.trees = trees_needed(target, self.depth, recall)
         self.hashes = max(64, self.trees * self.depth + 1)
         self.range_bits = max(0, math.ceil(math.log2(max(1, n) / ENTRIES)))
@@ -248,17 +248,19 @@ class History:
         w, keep = self.waves, self.scratch.keep
         kind = rows.schema["id"].dataType.simpleString()
         rows = rows.select("id", F.col("text").cast("string"), F.col("ord").cast("int")).where("id is not null and ord is not null")
-        known = keep(rows.mapInArrow(_prepare, f"id {kind}, ord int, h1 long, h2 long, core binary"), f"rows{w}")
-        filt, bits = bloom.repeats_filter(known.select("h1", "h2"), known.count())
-        again = bloom.maybe_in(known, "h1", "h2", filt, bits)
-        firsts = keep(again.groupBy("h1").agg(F.min(F.struct("ord", "core")).alias("x")).select("h1", "x.ord", "x.core"), f"repeats{w}")
-        single = bloom.maybe_in(known, "h1", "h2", filt, bits, negate=True).select("h1", "ord", "core")
-        reps = single.unionByName(firsts)
+        made = keep(rows.mapInArrow(_prepare, f"id {kind}, ord int, h1 long, h2 long, core binary"), f"rows{w}")
+        filt, bits = bloom.repeats_filter(made.select("h1", "h2"), made.count())
+        again = bloom.maybe_in(made, "h1", "h2", filt, bits)
+        firsts = again.groupBy("h1").agg(F.min(F.struct("ord", "core")).alias("x")).select("h1", "x.ord", "x.core")
+        single = bloom.maybe_in(made, "h1", "h2", filt, bits, negate=True).select("h1", "ord", "core")
+        # From here on ids and cores are apart, each core once; what both came from goes.
+        reps, known = keep(single.unionByName(firsts), f"cores{w}"), keep(made.select("id", "h1", "ord"), f"ids{w}")
+        self.scratch.drop(f"rows{w}")
         # Equal cores: in this wave, then in history.
-        exact = again.select("id", "h1", "ord").join(firsts.select("h1", F.col("ord").alias("first")), "h1").where("ord > first").select("id")
+        exact = known.join(reps.select("h1", F.col("ord").alias("first")), "h1").where("ord > first").select("id")
         if self.cores is not None:
             old = self.cores.select("h1")
-            exact = exact.unionByName(known.select("id", "h1").join(old, "h1", "left_semi").select("id"))
+            exact = exact.unionByName(known.join(old, "h1", "left_semi").select("id"))
             reps = keep(reps.join(old, "h1", "left_anti"), f"new{w}")
         entries = lambda df: df.select("h1", "ord", "core").mapInArrow(self.forest.entries, "bucket int, blob binary")
         tagged = entries(reps).withColumn("query", F.lit(False))
@@ -270,12 +272,12 @@ class History:
             asked = entries(left).withColumn("query", F.lit(True))
             more = keep(self._candidates(tagged.unionByName(asked), None, True), f"more{w}")
             near_ids = near_ids.unionByName(self._verified(more.where("v <> u").distinct(), reps, w, "b"))
-        found = exact.unionByName(known.select("id", "h1").join(near_ids, "h1", "left_semi").select("id")).distinct()
+        found = exact.unionByName(known.join(near_ids, "h1", "left_semi").select("id")).distinct()
         found = self.scratch.keep(found, f"found{w}")
         if persist:
             self.runs.append(f"w{w}")
             self.cores = reps.select("h1", "core") if self.cores is None else self.cores.unionByName(reps.select("h1", "core"))
-        self.scratch.drop(f"pairs{w}", f"more{w}", f"left{w}", f"near{w}", f"near{w}b")
+        self.scratch.drop(f"ids{w}", *([f"cores{w}"] if w > 1 else []), f"pairs{w}", f"more{w}", f"left{w}", f"near{w}", f"near{w}b")
         return found
 
     def _verified(self, pairs: DataFrame, reps: DataFrame, w: int, tag: str = "") -> DataFrame:
