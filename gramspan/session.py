@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -21,6 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_made: list[str] = []
+
+
+@atexit.register
+def _clean() -> None:
+    """Takes away the tables of this driver's runs when it ends, as far as its file system lets it."""
+    from pyarrow import fs
+
+    for root in _made:
+        with contextlib.suppress(Exception):
+            where, at = fs.FileSystem.from_uri(root)
+            where.delete_dir(at)
+
+
 class Scratch:
     """Tables of one operator run, kept under a folder of their own in the shared folder.
 
@@ -31,6 +47,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}_{uuid.uuid4().hex[:12]}"
+        _made.append(self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
