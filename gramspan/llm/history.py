@@ -38,7 +38,7 @@ from .minhash import bit_sketch, scramble, signatures, tree_keys, trees_needed
 from .textform import core, likeness
 
 LIMIT, TARGET, RECALL = 0.6, 0.66, 0.99  # near-same from LIMIT; recall wanted at TARGET, more above it
-NEAR, SKETCH_MIN, ENTRIES = 48, 43, 1 << 18  # sketch bits of 64 that must agree; entries wanted in a bucket
+NEAR, SKETCH_MIN, ENTRIES = 48, 43, 1 << 19  # sketch bits of 64 that must agree; entries wanted in a bucket
 _names = ["key", "id", "sketch", "ord"]
 
 

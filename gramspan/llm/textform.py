@@ -9,7 +9,6 @@ sorted order. *Pieces*: the distinct three-character substrings of a core.
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -32,7 +31,7 @@ LABEL_MAX, PIECE = 20, 3
 @lru_cache(1)
 def _table() -> dict[int, str]:
     table = {ord(k): v for k, v in LOOKALIKES.items()}
-    for cp in range(0x80, sys.maxunicode + 1):
+    for cp in (*range(0x80, 0x20000), *range(0xE0000, 0xE0200)):  # no format or space character lies elsewhere
         kind = unicodedata.category(chr(cp))
         if kind == "Cf":
             table[cp] = ""
