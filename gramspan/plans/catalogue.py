@@ -103,7 +103,7 @@ def detect_components(spark, sf_dir):
     return longs(exploded(found(spark, sf_dir, units=["u_exp"])).select("text_id", (F.col("k") + 1).cast("long").alias("candidate_index"), "c.span_key", "c.regex_match_text", "c.span_source"))
 
 
-@query(f"WITH {CANDS}, both AS (SELECT text_id, span_key, 'r_exp' AS r FROM cands UNION ALL SELECT text_id, span_key, 'r_two' FROM cands WHERE match_text LIKE '%있') SELECT text_id, span_key, string_agg(DISTINCT r, ',' ORDER BY r) AS rules FROM both GROUP BY 1, 2")
+@query(f"WITH {CANDS}, twice AS (SELECT text_id, span_key, 'r_exp' AS r FROM cands UNION ALL SELECT text_id, span_key, 'r_two' FROM cands WHERE match_text LIKE '%있') SELECT text_id, span_key, string_agg(DISTINCT r, ',' ORDER BY r) AS rules FROM twice GROUP BY 1, 2")
 def detect_merge(spark, sf_dir):
     more = B.Rule("u_exp", "d_exp", "r_two", "detect", r"적[이은도]? ?있", priority=1)
     return exploded(found(spark, sf_dir, test_bundle(extra=(more,)), ["u_exp"])).select("text_id", "c.span_key", F.array_join("c.detect_rule_ids", ",").alias("rules"))
