@@ -98,7 +98,7 @@ def pack(df: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col:
         raise ValueError("a container needs a capacity of 1 token or more")
     id_kind = sizes.schema["id"].dataType.simpleString()
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key, pdf):
         kind, group, capacity = key[0], int(key[1]), int(pdf["capacity"].iloc[0])
         pdf = pdf.sort_values("id", kind="stable")
         ids, tokens = pdf["id"].tolist(), pdf["tokens"].tolist()

@@ -19,7 +19,7 @@ def encoding(vocabulary: str):
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def count(texts: list[str | None], vocabulary: str) -> list[int]:
+def count(texts: list[str | None], vocabulary: str = VOCABULARY) -> list[int]:
     """Tokens of each whole text; null and empty have none. Lone surrogates count as replacement characters."""
     enc = encoding(vocabulary)
     return [len(enc.encode_ordinary(t)) if t else 0 for t in texts]
