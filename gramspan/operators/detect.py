@@ -299,3 +299,12 @@ def detect(df: DataFrame, bundle: Bundle, unit_ids: list[str] | None = None, tex
     if o.realtime:
         rejected = F.slice(rejected, 1, 0)
     return staged.withColumns({"candidates": shown, "rejected": rejected, "summary": summary}).drop("_all", *names)
+
+
+def each(df: DataFrame, *keep: str, what: str = "candidates") -> DataFrame:
+    """One row per candidate ``c`` with its place ``k``.
+
+    An outer explode with a filter behind it: for a plain one the optimizer adds a filter on the array's
+    size below it, which would work out all candidates a second time.
+    """
+    return df.select(*keep, F.posexplode_outer(what).alias("k", "c")).where("k is not null")

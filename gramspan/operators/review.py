@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spans import cut, format_spans, inspect, parse_spans
 from ..functions.textfn import blank_to_null, finditer_spans, java_pattern, let, without_ws
+from .detect import each
 
 #: Fixed value: the review columns in their order.
 REVIEW_COLUMNS = [
@@ -38,7 +39,7 @@ def review_rows(detected: DataFrame) -> DataFrame:
     """One row per kept candidate in the review columns; cells are text, lists and spans compact JSON."""
     keys = ["batch_id", "text_id", "corpus_domain", "source", "source_file", "source_row_index", "source_line_no"]
     there = [c if c in detected.columns else F.lit("").alias(c) for c in keys]
-    rows = detected.select(*there, "raw_text", F.posexplode("candidates").alias("_k", "c"))
+    rows = each(detected.select(*there, "raw_text", "candidates"), *keys, "raw_text").withColumnRenamed("k", "_k")
     place = F.col("_k") + 1
     own = {"hit_id": F.format_string("%s-cand%02d", F.col("text_id").cast("string"), place), "candidate_index": place, "raw_text": F.col("raw_text")}
     own |= {k: F.col(k) for k in keys} | {k: F.lit("") for k in HUMAN} | {k: F.to_json(F.col(f"c.{k}")) for k in LISTS}
@@ -60,7 +61,7 @@ def search_report(detected: DataFrame) -> DataFrame:
     texts = detected.select(domain.alias("domain"), F.size("candidates").alias("n")).groupBy("domain").agg(F.count(F.lit(1)).alias("texts"), F.count_if(F.col("n") > 0).alias("hit_texts"), F.sum("n").alias("candidates"))
     by_domain = texts.rollup("domain").agg(F.sum("texts").alias("texts"), F.sum("hit_texts").alias("hit_texts"), F.sum("candidates").alias("candidates"), F.grouping("domain").alias("g"))
     first = by_domain.select(F.when(F.col("g") == 1, "total").otherwise("domain").alias("dimension"), F.when(F.col("g") == 1, "").otherwise(F.col("domain")).alias("value"), "texts", "hit_texts", "candidates")
-    hits = detected.select(F.explode("candidates").alias("c")).select(F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"c.{c}").alias("value")) for d, c in (("unit", "unit_id"), ("span_source", "span_source"), ("status", "component_span_status"))])).alias("x"))
+    hits = each(detected).select(F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"c.{c}").alias("value")) for d, c in (("unit", "unit_id"), ("span_source", "span_source"), ("status", "component_span_status"))])).alias("x"))
     rest = hits.groupBy("x.dimension", "x.value").agg(F.count(F.lit(1)).alias("candidates"))
     return first.unionByName(rest.select("dimension", "value", F.lit(None).cast("long").alias("texts"), F.lit(None).cast("long").alias("hit_texts"), "candidates"))
 

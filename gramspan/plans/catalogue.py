@@ -11,7 +11,7 @@ from ..functions.hangul import BASE, FINALS, final_index, has_final
 from ..functions.textfn import finditer_spans, trim_ws
 from ..operators import bundle as B
 from ..operators import review, sampling, sync
-from ..operators.detect import Options, detect
+from ..operators.detect import Options, detect, each
 
 EXP, CAN, WHY = r"적[이은도]? ?[있없]", r"수[는도가]? ?[있없]", r"기 ?때문"
 _RULES = [B.Rule("u_exp", "d_exp", "r_exp", "detect", EXP), B.Rule("u_can", "d_can", "r_can", "detect", CAN), B.Rule("ps_why", "d_why", "r_why", "detect", WHY)]
@@ -30,9 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(text_id, corpus_domain, raw_text): one row per text."""
+    """(text_id, corpus_domain, raw_text): one row per text. Grouped by the text as well, so filters on it reach the scan."""
     rows = table(spark, sf_dir, "search_corpus").where("text_id is not null")
-    return rows.groupBy("text_id").agg(F.min(F.coalesce(F.lower(trim_ws("corpus_domain")), F.lit(""))).alias("corpus_domain"), F.min("raw_text").alias("raw_text"))
+    return rows.groupBy("text_id", "raw_text").agg(F.min(F.coalesce(F.lower(trim_ws("corpus_domain")), F.lit(""))).alias("corpus_domain"))
 
 
 def longs(df: DataFrame) -> DataFrame:
@@ -80,12 +80,12 @@ def query(sql: str | None = None):  # noqa: ANN201
 # ---- detection ------------------------------------------------------------------------------------------------
 
 
-def found(spark: SparkSession, sf_dir: str, bundle: B.Bundle | None = None, units: list[str] | None = None, **options) -> DataFrame:  # noqa: ANN003
-    return detect(corpus(spark, sf_dir), bundle or test_bundle(), units or UNITS, options=Options(**options))
+def found(spark: SparkSession, sf_dir: str, bundle: B.Bundle | None = None, units: list[str] | None = None, only_hits: bool = True, **options) -> DataFrame:  # noqa: ANN003
+    return detect(corpus(spark, sf_dir), bundle or test_bundle(), units or UNITS, options=Options(**options), only_hits=only_hits)
 
 
 def exploded(df: DataFrame, what: str = "candidates") -> DataFrame:
-    return df.select("text_id", "corpus_domain", "raw_text", F.posexplode(what).alias("k", "c"))
+    return each(df, "text_id", "corpus_domain", "raw_text", what=what)
 
 
 _COUNTS = " UNION ALL ".join(f"SELECT corpus_domain, '{u}' AS unit_id, len(regexp_extract_all(raw_text, '{p}')) AS n FROM corpus WHERE regexp_matches(raw_text, '{p}')" for u, p in zip(UNITS, (EXP, CAN, WHY)))
@@ -93,7 +93,7 @@ _COUNTS = " UNION ALL ".join(f"SELECT corpus_domain, '{u}' AS unit_id, len(regex
 
 @query(f"WITH {CORPUS} SELECT corpus_domain, unit_id, sum(n)::BIGINT AS candidates, count(*) AS texts FROM ({_COUNTS}) GROUP BY 1, 2")
 def flagship_unit_domain_counts(spark, sf_dir):
-    hits = detect(corpus(spark, sf_dir), test_bundle(), UNITS, only_hits=True).select("text_id", "corpus_domain", F.explode("candidates.unit_id").alias("unit_id"))
+    hits = each(found(spark, sf_dir), "text_id", "corpus_domain").select("text_id", "corpus_domain", "c.unit_id")
     per_text = hits.groupBy("corpus_domain", "unit_id", "text_id").agg(F.count(F.lit(1)).alias("n"))
     return per_text.groupBy("corpus_domain", "unit_id").agg(F.sum("n").alias("candidates"), F.count(F.lit(1)).alias("texts"))
 
@@ -140,7 +140,7 @@ def detect_kept_rejected(spark, sf_dir):
 
 @query(f"WITH {CORPUS} SELECT corpus_domain, sum(coalesce(least(len(regexp_extract_all(raw_text, '{EXP}')), 1), 0))::BIGINT AS matches, sum(CASE WHEN len(regexp_extract_all(raw_text, '{EXP}')) > 1 THEN 1 ELSE 0 END)::BIGINT AS truncated FROM corpus GROUP BY 1")
 def detect_summary(spark, sf_dir):
-    got = found(spark, sf_dir, units=["u_exp"], max_matches_per_rule=1)
+    got = found(spark, sf_dir, units=["u_exp"], only_hits=False, max_matches_per_rule=1)
     return got.groupBy("corpus_domain").agg(F.sum("summary.n_detect_matches").alias("matches"), F.sum("summary.n_matches_truncated").alias("truncated"))
 
 
@@ -346,7 +346,7 @@ def review_rows(spark, sf_dir):
 
 @query(f"WITH {CORPUS}, t AS (SELECT coalesce(nullif(corpus_domain, ''), 'unknown') AS d, coalesce(len(regexp_extract_all(raw_text, '{EXP}')), 0) AS n FROM corpus) SELECT CASE WHEN grouping(d) = 1 THEN 'total' ELSE 'domain' END AS dimension, CASE WHEN grouping(d) = 1 THEN '' ELSE d END AS value, count(*) AS texts, count(*) FILTER (WHERE n > 0) AS hit_texts, sum(n)::BIGINT AS candidates FROM t GROUP BY GROUPING SETS ((d), ()) UNION ALL SELECT x.a, x.b, NULL, NULL, sum(n)::BIGINT FROM t, (VALUES ('unit', 'u_exp'), ('span_source', 'component_spans'), ('status', 'ok')) x(a, b) GROUP BY 1, 2")
 def review_grouping_sets(spark, sf_dir):
-    return review.search_report(found(spark, sf_dir, units=["u_exp"]))
+    return review.search_report(found(spark, sf_dir, units=["u_exp"], only_hits=False))
 
 
 @query()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.bundle import Bundle
-from ..operators.detect import Options, detect
+from ..operators.detect import Options, detect, each
 
 
 def stream_texts(spark: SparkSession, folder: str, schema: str, kind: str = "parquet", files_per_trigger: int = 8) -> DataFrame:
@@ -17,7 +17,7 @@ def realtime(stream: DataFrame, bundle: Bundle, unit_ids: list[str], text_col: s
     """One row per candidate as it comes; candidates without component spans stay hidden, as do analysis fields."""
     found = detect(stream, bundle, unit_ids, text_col=text_col, options=Options(realtime=True), only_hits=True)
     keys = [c for c in stream.columns if c != text_col]
-    return found.select(*keys, F.explode("candidates").alias("c")).select(*keys, "c.unit_id", "c.span_key", "c.span_text", "c.span_source")
+    return each(found, *keys).select(*keys, "c.unit_id", "c.span_key", "c.span_text", "c.span_source")
 
 
 def counts_per_window(found: DataFrame, time_col: str, window: str = "10 minutes", late: str = "1 hour") -> DataFrame:
