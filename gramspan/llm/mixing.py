@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Scratch
@@ -230,8 +230,6 @@ def mix(documents: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col
         key = (s["mix"], s["label"])
         before.append((*key, s["part"], float(seen[key]), float(left[key])))
         seen[key] += s["t"]
-    from pyspark.sql import Window
-
     offsets = spark.createDataFrame(before, "mix int, label int, part long, before double, open double")
     upto = F.sum("t").over(Window.partitionBy("part", "mix", "label").orderBy("at")) + F.col("before")
     extra = (F.col("won") | ((F.col("t") > 0) & (upto - F.col("t") / 2 <= F.col("open")))).cast("int")
