@@ -11,8 +11,10 @@ entries become a new run; ``merge_runs`` merges runs.
 
 The search asks whether *some* earlier text is near-same, so where one key has more than ``near``
 earlier entries a text is first held against the ``near`` before it in the finest order and the
-``near`` earliest of the key; texts not settled by these are held against all the rest, in
-blocks, in a second pass. No candidate is dropped, and no task holds all pairs of a key.
+``near`` earliest of the key, and the BEST closest of them are verified; texts not settled by these are held against all the rest, in
+blocks, in a second pass. No candidate is dropped, and no task holds all pairs of a key. Nor does
+one hold all entries of a key: entries stream bucket by bucket, and once CHUNK are held, those of
+the keys that make up most of them are matched, written and let go but for their earliest.
 
 Defined cases: null, empty, blank or bare-punctuation texts have no core and are never found;
 rows with a null id or an unknown batch are left out; repeated rows count once; a text that
@@ -28,17 +30,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import bloom
 from .dedupe_exact import hash_core
 from .minhash import bit_sketch, scramble, signatures, tree_keys, trees_needed
+from .skew import hot_keys, sliced_join
 from .textform import core, likeness
 
 LIMIT, TARGET, RECALL = 0.6, 0.66, 0.99  # near-same from LIMIT; recall wanted at TARGET, more above it
 NEAR, SKETCH_MIN, ENTRIES = 48, 43, 1 << 19  # sketch bits of 64 that must agree; entries wanted in a bucket
+CHUNK, BLOCK_ROWS, BEST = 1 << 21, 50_000, 4  # entries a task holds at a time (of 28 bytes, some copies); cores packed together; candidates of a text and key in the first pass
+GROUPS = 16  # row groups of a run read at a time
 _names = ["key", "id", "sketch", "ord"]
 
 
@@ -80,29 +85,37 @@ class Forest:
 
     def entries(self, batches):
         """(bucket, packed entries) of (h1, ord, core) rows, by block of rows."""
+        held, n = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 50_000):
-                part = batch.slice(at, 50_000)
-                cores = [c.decode("utf-16-le", "surrogatepass") for c in part.column(2).to_pylist()]
-                have, sig = signatures(cores, self.hashes)
-                if not len(have):
-                    continue
-                ids = part.column(0).to_numpy().astype(np.int64).view(np.uint64)[have]
-                order = part.column(1).to_numpy().astype(np.uint32)[have]
-                keys, sketch = tree_keys(sig, self.depth, self.trees), bit_sketch(sig)
-                buckets, blobs = [], []
-                for t in range(self.trees):
-                    level = scramble(sig[:, (t + 1) * self.depth % self.hashes].astype(np.uint64)) & np.uint64(255)
-                    key = keys[:, t] >> np.uint64(24) << np.uint64(8) | level
-                    by = np.argsort(key, kind="stable")
-                    key = key[by]
-                    cuts = np.searchsorted(key, np.arange(1, 1 << self.range_bits, dtype=np.uint64) << np.uint64(48 - self.range_bits))
-                    for r, idx in enumerate(np.split(np.arange(len(by)), cuts)):
-                        if len(idx):
-                            k = by[idx]
-                            buckets.append(t << self.range_bits | r)
-                            blobs.append(_pack([key[idx], ids[k], sketch[k], order[k]]))
-                yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+            held.append(batch)
+            n += batch.num_rows
+            if n >= BLOCK_ROWS:
+                yield from self._packed(held)
+                held, n = [], 0
+        if n:
+            yield from self._packed(held)
+
+    def _packed(self, batches: list):
+        cores = [c.decode("utf-16-le", "surrogatepass") for b in batches for c in b.column(2).to_pylist()]
+        have, sig = signatures(cores, self.hashes)
+        if not len(have):
+            return
+        ids = np.concatenate([b.column(0).to_numpy() for b in batches]).astype(np.int64).view(np.uint64)[have]
+        order = np.concatenate([b.column(1).to_numpy() for b in batches]).astype(np.uint32)[have]
+        keys, sketch = tree_keys(sig, self.depth, self.trees), bit_sketch(sig)
+        buckets, blobs = [], []
+        for t in range(self.trees):
+            level = scramble(sig[:, (t + 1) * self.depth % self.hashes].astype(np.uint64)) & np.uint64(255)
+            key = keys[:, t] >> np.uint64(24) << np.uint64(8) | level
+            by = np.argsort(key, kind="stable")
+            key = key[by]
+            cuts = np.searchsorted(key, np.arange(1, 1 << self.range_bits, dtype=np.uint64) << np.uint64(48 - self.range_bits))
+            for r, idx in enumerate(np.split(np.arange(len(by)), cuts)):
+                if len(idx):
+                    k = by[idx]
+                    buckets.append(t << self.range_bits | r)
+                    blobs.append(_pack([key[idx], ids[k], sketch[k], order[k]]))
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
     @property
     def buckets(self) -> int:
@@ -121,45 +134,55 @@ def match(key: np.ndarray, sketch: np.ndarray, order: np.ndarray, fresh: np.ndar
     """Pairs (v, u) of positions with one 40-bit prefix, v fresh, u of an earlier batch, sketches close.
 
     Arrays are sorted by (prefix, ord). With ``rest`` off, at most ``near`` entries before v and the ``near``
-    earliest of its prefix are tried; also gives the positions v that have more. With it on, all are tried.
+    earliest of its prefix are tried and the BEST closest given; also gives the positions v that have more of
+    either. With it on, all are tried and given.
     """
     prefix = key >> np.uint64(8)
     n = len(prefix)
     new = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1]))) if n else np.empty(0, np.int64)
     start = np.repeat(new, np.diff(np.append(new, n)))
     place = np.arange(n) - start
-    out_v, out_u = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-
-    def emit(v: np.ndarray, u: np.ndarray) -> None:
-        ok = (order[u] < order[v]) & _close(sketch, v, u)
-        out_v.append(v[ok])
-        out_u.append(u[ok])
-
     queries = np.flatnonzero(fresh & (place > 0))
-    more = np.empty(0, np.int64)
     if rest:
+        out_v, out_u = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for v in queries:  # few: only what the first pass left open
             for a in range(start[v], v, 1 << 20):
                 u = np.arange(a, min(v, a + (1 << 20)))
-                emit(np.full(len(u), v), u)
-    else:
-        # Entries before v in the order of (prefix, ord); those of v's own batch don't count, so start where they end.
-        same = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (order[1:] != order[:-1])))) if n else new
-        first = np.repeat(same, np.diff(np.append(same, n)))
-        idx = queries[first[queries] > start[queries]]
-        more = idx[first[idx] - start[idx] > 2 * near]
-        for k in range(1, near + 1):
-            idx = idx[first[idx] - k >= start[idx]]
-            if not len(idx):
-                break
-            emit(idx, first[idx] - k)
-        idx = queries[first[queries] - start[queries] > near]
-        for k in range(near):
-            idx = idx[start[idx] + k < first[idx] - near]
-            if not len(idx):
-                break
-            emit(idx, start[idx] + k)
-    return np.concatenate(out_v), np.concatenate(out_u), more
+                u = u[(order[u] < order[v]) & _close(sketch, np.full(len(u), v), u)]
+                out_v.append(np.full(len(u), v))
+                out_u.append(u)
+        return np.concatenate(out_v), np.concatenate(out_u), np.empty(0, np.int64)
+    # Entries before v in the order of (prefix, ord); those of v's own batch don't count, so start where they end.
+    same = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (order[1:] != order[:-1])))) if n else new
+    first = np.repeat(same, np.diff(np.append(same, n)))
+    far, who = np.full((BEST, n), 65, np.uint8), np.zeros((BEST, n), np.int64)  # the BEST closest of each v, closest first
+    met = np.zeros(n, np.int64)
+
+    def offer(v: np.ndarray, u: np.ndarray) -> None:
+        d = _popcount(sketch[v] ^ sketch[u]).astype(np.uint8)
+        ok = (order[u] < order[v]) & (d <= 64 - SKETCH_MIN)
+        v, u, d = v[ok], u[ok], d[ok]
+        met[v] += 1
+        for j in range(BEST):
+            nearer, d0, u0 = d < far[j, v], far[j, v], who[j, v]
+            far[j, v], who[j, v] = np.where(nearer, d, d0), np.where(nearer, u, u0)
+            d, u = np.where(nearer, d0, d), np.where(nearer, u0, u)
+
+    idx = queries[first[queries] > start[queries]]
+    crowded = idx[first[idx] - start[idx] > 2 * near]
+    for k in range(1, near + 1):
+        idx = idx[first[idx] - k >= start[idx]]
+        if not len(idx):
+            break
+        offer(idx, first[idx] - k)
+    idx = queries[first[queries] - start[queries] > near]
+    for k in range(near):
+        idx = idx[start[idx] + k < first[idx] - near]
+        if not len(idx):
+            break
+        offer(idx, start[idx] + k)
+    slot, v = np.nonzero(far < 65)
+    return v, who[slot, v], np.union1d(crowded, np.flatnonzero(met > BEST))
 
 
 def _open(uri: str):
@@ -176,68 +199,178 @@ def _write(uri: str, arrays: list[np.ndarray]) -> None:
     where.move(tmp, at)
 
 
-def _read(uri: str, wanted: np.ndarray | None) -> list[np.ndarray] | None:
-    """Entries of a run's bucket whose prefix is among the sorted ``wanted`` ones; all if None."""
-    where, at = _open(uri)
+def _read(folder: str, wanted: np.ndarray | None):
+    """Entries of a run's bucket, a few row groups at a time; of the sorted ``wanted`` prefixes only, if given.
+
+    Row groups whose bounds hold no wanted prefix are not read.
+    """
+    where, at = _open(folder)
     if where.get_file_info(at).type == fs.FileType.NotFound:
-        return None
-    file = pq.ParquetFile(where.open_input_file(at))
-    groups = range(file.num_row_groups)
-    if wanted is not None:
-        spans = [file.metadata.row_group(g).column(0).statistics for g in groups]
-        groups = [g for g, s in zip(groups, spans) if np.searchsorted(wanted, s.min >> 8) < np.searchsorted(wanted, s.max >> 8, "right")]
-    table = file.read_row_groups(list(groups)) if len(groups) else file.schema_arrow.empty_table()
-    cols = [table.column(c).to_numpy() for c in _names]
-    if wanted is not None and len(wanted):
-        at_ = np.searchsorted(wanted, cols[0] >> np.uint64(8))
-        ok = wanted[np.minimum(at_, len(wanted) - 1)] == cols[0] >> np.uint64(8)
-        cols = [c[ok] for c in cols]
-    return cols
+        return
+    for info in sorted(where.get_file_info(fs.FileSelector(at)), key=lambda f: f.path):
+        if not info.path.endswith(".parquet"):
+            continue
+        with where.open_input_file(info.path) as opened:
+            file = pq.ParquetFile(opened)
+            groups = list(range(file.num_row_groups))
+            if wanted is not None:
+                spans = [file.metadata.row_group(g).column(0).statistics for g in groups]
+                groups = [g for g, x in zip(groups, spans) if np.searchsorted(wanted, x.min >> 8) < np.searchsorted(wanted, x.max >> 8, "right")]
+            for k in range(0, len(groups), GROUPS):
+                table = file.read_row_groups(groups[k : k + GROUPS])
+                cols = [table.column(c).to_numpy() for c in _names]
+                if wanted is not None:
+                    prefix = cols[0] >> np.uint64(8)
+                    ok = wanted[np.minimum(np.searchsorted(wanted, prefix), len(wanted) - 1)] == prefix
+                    cols = [c[ok] for c in cols]
+                if len(cols[0]):
+                    yield cols
+
+
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.uint64)] * 3 + [np.empty(0, np.uint32)]
+
+
+def _taken(cols: list[np.ndarray], at: np.ndarray) -> list[np.ndarray]:
+    return [c[at] for c in cols]
+
+
+def _by_prefix(cols: list[np.ndarray]) -> list[np.ndarray]:
+    return _taken(cols, np.lexsort((cols[0], cols[3], cols[0] >> np.uint64(8))))
+
+
+def _earliest(cols: list[np.ndarray], n: int) -> list[np.ndarray]:
+    """The ``n`` earliest entries of each prefix; sorted by (prefix, ord)."""
+    prefix = cols[0] >> np.uint64(8)
+    new = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1]))) if len(prefix) else np.empty(0, np.int64)
+    place = np.arange(len(prefix)) - np.repeat(new, np.diff(np.append(new, len(prefix))))
+    return _taken(cols, place < n)
+
+
+class Bucket:
+    """One bucket as it streams by, in a task of a first pass: entries of the wave, held in bounded numbers."""
+
+    def __init__(self, folder: str | None, old: list[str], near: int, chunk: int):
+        self.folder, self.old, self.near, self.chunk = folder, old, near, chunk
+        self.parts, self.held, self.files = [], 0, 0
+        self.pivots: list[list[np.ndarray]] = []  # earliest entries of crowded prefixes that were let go
+        self.crowded = np.empty(0, np.uint64)
+
+    def put(self, cols: list[np.ndarray]):
+        self.parts.append(cols)
+        self.held += len(cols[0])
+        if self.held >= self.chunk:
+            cols = _joined(self.parts)
+            prefix = cols[0] >> np.uint64(8)
+            kinds, n = np.unique(prefix, return_counts=True)
+            crowd = kinds[n >= max(1, self.chunk // 8)]
+            if len(crowd):
+                go = np.isin(prefix, crowd)
+                self.crowded = np.union1d(self.crowded, crowd)
+                yield self._matched(_taken(cols, go))
+                cols = _taken(cols, ~go)
+            self.parts, self.held = [cols], len(cols[0])
+
+    def end(self):
+        if self.held:
+            yield self._matched(_joined(self.parts))
+
+    def _matched(self, own: list[np.ndarray]) -> pa.RecordBatch:
+        wanted = np.unique(own[0] >> np.uint64(8))
+        past, held = [], 0
+        for run in self.old:
+            for cols in _read(run, wanted):
+                past.append(cols)
+                held += len(cols[0])
+                if held >= self.chunk:  # crowded in history: their earliest stand for them until the second pass
+                    cols = _by_prefix(_joined(past))
+                    kinds, n = np.unique(cols[0] >> np.uint64(8), return_counts=True)
+                    crowd = kinds[n >= max(1, self.chunk // 8)]
+                    self.crowded = np.union1d(self.crowded, crowd)
+                    many = np.isin(cols[0] >> np.uint64(8), crowd)
+                    past = [_taken(cols, ~many), _earliest(_taken(cols, many), 2 * self.near)]
+                    held = sum(len(p[0]) for p in past)
+        if self.folder:
+            _write(f"{self.folder}/{self.files}.parquet", _taken(own, np.argsort(own[0], kind="stable")))
+            self.files += 1
+        seen = _joined([own, *past, *self.pivots])
+        fresh = np.arange(len(seen[0])) < len(own[0])
+        by = np.lexsort((seen[0], seen[3], seen[0] >> np.uint64(8)))
+        seen, fresh = _taken(seen, by), fresh[by]
+        v, u, more = match(seen[0], seen[2], seen[3], fresh, self.near, False)
+        crowd = np.isin(seen[0] >> np.uint64(8), self.crowded)
+        if crowd.any():
+            more = np.union1d(more, np.flatnonzero(crowd & fresh))
+            mine = np.isin(own[0] >> np.uint64(8), self.crowded)
+            self.pivots = [_earliest(_by_prefix(_joined([_taken(own, mine), *self.pivots])), 2 * self.near)]
+        pairs = np.unique(np.stack([seen[1][v], seen[1][u]], 1), axis=0) if len(v) else np.empty((0, 2), np.uint64)
+        open_ = np.unique(seen[1][more])
+        return _pairs(np.concatenate([pairs[:, 0], open_]), np.concatenate([pairs[:, 1], open_]))
+
+
+def _pairs(v: np.ndarray, u: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(u.view(np.int64))], ["v", "u"])
+
+
+def _rest(asked: list[np.ndarray], chunks):
+    """Pairs of the asked entries with every earlier one of their prefix, a chunk at a time."""
+    wanted = np.unique(asked[0] >> np.uint64(8))
+    for cols in chunks:
+        prefix = cols[0] >> np.uint64(8)
+        ok = wanted[np.minimum(np.searchsorted(wanted, prefix), len(wanted) - 1)] == prefix
+        seen = _joined([asked, _taken(cols, ok)])
+        fresh = np.arange(len(seen[0])) < len(asked[0])
+        by = np.lexsort((fresh, seen[3], seen[0] >> np.uint64(8)))
+        seen, fresh = _taken(seen, by), fresh[by]
+        v, u, _ = match(seen[0], seen[2], seen[3], fresh, 0, True)
+        if len(v):
+            pairs = np.unique(np.stack([seen[1][v], seen[1][u]], 1), axis=0)
+            yield _pairs(pairs[:, 0].copy(), pairs[:, 1].copy())
 
 
 class History:
     """Index of everything accepted so far, under a folder of its own in the shared folder."""
 
-    def __init__(self, spark: SparkSession, expected: int, near: int = NEAR):
-        self.spark, self.near, self.forest = spark, near, Forest(expected)
+    def __init__(self, spark: SparkSession, expected: int, near: int = NEAR, chunk: int = CHUNK):
+        self.spark, self.near, self.chunk, self.forest = spark, near, chunk, Forest(expected)
         self.scratch, self.runs, self.waves = Scratch(spark, "history"), [], 0
         self.cores: DataFrame | None = None  # (h1, core) of all accepted so far
 
     def _candidates(self, blobs: DataFrame, save_as: str | None, rest: bool) -> DataFrame:
-        root, runs, near = self.scratch.path("runs"), list(self.runs), self.near
-
-        def one(bucket: int, parts: list[list[np.ndarray]], queries: list[np.ndarray] | None):
-            own = [np.concatenate(x) for x in zip(*parts)]
-            wanted = np.unique(own[0] >> np.uint64(8))
-            old = [x for run in runs if (x := _read(f"{root}/{run}/{bucket}.parquet", wanted)) is not None]
-            if save_as:
-                by = np.argsort(own[0], kind="stable")
-                _write(f"{root}/{save_as}/{bucket}.parquet", [c[by] for c in own])
-            cols = [np.concatenate([a, *(o[k] for o in old)]) for k, a in enumerate(own)]
-            fresh = np.arange(len(cols[0])) < len(own[0])
-            if queries is not None:
-                fresh &= np.isin(cols[1], queries)
-            by = np.lexsort((cols[0], cols[3], cols[0] >> np.uint64(8)))
-            key, ids, sketch, order = (c[by] for c in cols)
-            v, u, more = match(key, sketch, order, fresh[by], near, rest)
-            pairs = np.unique(np.stack([ids[v], ids[u]], 1), axis=0) if len(v) else np.empty((0, 2), np.uint64)
-            open_ = np.unique(ids[more])
-            v, u = np.concatenate([pairs[:, 0], open_]).view(np.int64), np.concatenate([pairs[:, 1], open_]).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(v), pa.array(u)], ["v", "u"])
+        root, runs, near, chunk = self.scratch.path("runs"), list(self.runs), self.near, self.chunk
 
-        def run(batches):
-            held: dict[int, list] = {}
-            asked: dict[int, list] = {}
+        def rows(batches):
             for batch in batches:
-                for b, blob, q in zip(*(c.to_pylist() for c in batch.columns)):
-                    (asked if q else held).setdefault(b, []).append(blob)
-            for b in sorted(held):
-                queries = np.concatenate([_unpack(x)[1] for x in asked.get(b, [])] or [np.empty(0, np.uint64)]) if rest else None
-                if not rest or len(queries):
-                    yield one(b, [_unpack(x) for x in held.pop(b)], queries)
+                yield from zip(*(c.to_pylist() for c in batch.columns))
+
+        def first_pass(batches):
+            at, bucket = None, None
+            for b, blob, _ in rows(batches):
+                if b != at:
+                    if bucket:
+                        yield from bucket.end()
+                    at, bucket = b, Bucket(f"{root}/{save_as}/{b}" if save_as else None, [f"{root}/{r}/{b}" for r in runs], near, chunk)
+                yield from bucket.put(_unpack(blob))
+            if bucket:
+                yield from bucket.end()
+
+        def second_pass(batches):
+            at, asked, done = None, [], False
+            for b, blob, query in rows(batches):  # of each bucket, what is asked comes first
+                if b != at:
+                    at, asked, done = b, [], False
+                if query:
+                    asked.append(_unpack(blob))
+                elif asked:
+                    if not done:
+                        asked, done = [_joined(asked)], True
+                        wanted = np.unique(asked[0][0] >> np.uint64(8))
+                        for r in runs:
+                            yield from _rest(asked[0], _read(f"{root}/{r}/{b}", wanted))
+                    yield from _rest(asked[0], [_unpack(blob)])
 
         n = min(self.forest.buckets, 4000)
-        return blobs.repartition(n, "bucket").mapInArrow(run, "v long, u long")
+        return blobs.repartition(n, "bucket").sortWithinPartitions("bucket", F.desc("query")).mapInArrow(second_pass if rest else first_pass, "v long, u long")
 
     def add(self, rows: DataFrame, persist: bool = True) -> DataFrame:
         """(id) of every row that repeats or nearly repeats a text of an earlier ``ord``; rows: id, text, ord.
@@ -257,10 +390,11 @@ class History:
         reps, known = keep(single.unionByName(firsts), f"cores{w}"), keep(made.select("id", "h1", "ord"), f"ids{w}")
         self.scratch.drop(f"rows{w}")
         # Equal cores: in this wave, then in history.
-        exact = known.join(reps.select("h1", F.col("ord").alias("first")), "h1").where("ord > first").select("id")
+        hot = keep(hot_keys(known, ["h1"], known.count()), f"hot{w}")
+        exact = sliced_join(known, reps.select("h1", F.col("ord").alias("first")), ["h1"], hot, "id").where("ord > first").select("id")
         if self.cores is not None:
             old = self.cores.select("h1")
-            exact = exact.unionByName(known.join(old, "h1", "left_semi").select("id"))
+            exact = exact.unionByName(sliced_join(known, old, ["h1"], hot, "id", "left_semi").select("id"))
             reps = keep(reps.join(old, "h1", "left_anti"), f"new{w}")
         entries = lambda df: df.select("h1", "ord", "core").mapInArrow(self.forest.entries, "bucket int, blob binary")
         tagged = entries(reps).withColumn("query", F.lit(False))
@@ -272,12 +406,12 @@ class History:
             asked = entries(left).withColumn("query", F.lit(True))
             more = keep(self._candidates(tagged.unionByName(asked), None, True), f"more{w}")
             near_ids = near_ids.unionByName(self._verified(more.where("v <> u").distinct(), reps, w, "b"))
-        found = exact.unionByName(known.join(near_ids, "h1", "left_semi").select("id")).distinct()
+        found = exact.unionByName(sliced_join(known, near_ids, ["h1"], hot, "id", "left_semi").select("id")).distinct()
         found = self.scratch.keep(found, f"found{w}")
         if persist:
             self.runs.append(f"w{w}")
             self.cores = reps.select("h1", "core") if self.cores is None else self.cores.unionByName(reps.select("h1", "core"))
-        self.scratch.drop(f"ids{w}", *([f"cores{w}"] if w > 1 else []), f"pairs{w}", f"more{w}", f"left{w}", f"near{w}", f"near{w}b")
+        self.scratch.drop(f"ids{w}", *([f"cores{w}"] if w > 1 else []), f"pairs{w}", f"more{w}", f"left{w}", f"near{w}", f"near{w}b", f"asked{w}", f"asked{w}b")
         return found
 
     def _verified(self, pairs: DataFrame, reps: DataFrame, w: int, tag: str = "") -> DataFrame:
@@ -287,7 +421,7 @@ class History:
         cores = reps.select("h1", "core")
         if self.cores is not None:
             cores = cores.unionByName(self.cores)
-        cores = bloom.maybe_in(cores.withColumn("h2", F.col("h1")), "h1", "h2", filt, bits).drop("h2")
+        cores = self.scratch.keep(bloom.maybe_in(cores.withColumn("h2", F.col("h1")), "h1", "h2", filt, bits).drop("h2"), f"asked{w}{tag}")
 
         def check(batches):
             for batch in batches:
@@ -299,17 +433,21 @@ class History:
         return self.scratch.keep(joined.select("v", "cu", "cv").mapInArrow(check, "h1 long").distinct(), f"near{w}{tag}")
 
     def merge_runs(self) -> None:
-        """Merges all runs into one, a bucket a task."""
-        root, runs, name = self.scratch.path("runs"), list(self.runs), f"m{self.waves}"
+        """Merges all runs into one, a bucket a task; a bucket of over CHUNK entries keeps sorted files of up to that many."""
+        root, runs, name, chunk = self.scratch.path("runs"), list(self.runs), f"m{self.waves}", self.chunk
 
         def run(batches):
             for batch in batches:
                 for b in batch.column(0).to_pylist():
-                    parts = [x for r in runs if (x := _read(f"{root}/{r}/{b}.parquet", None)) is not None]
-                    if parts:
-                        cols = [np.concatenate(x) for x in zip(*parts)]
-                        by = np.argsort(cols[0], kind="stable")
-                        _write(f"{root}/{name}/{b}.parquet", [c[by] for c in cols])
+                    parts, held, files = [], 0, 0
+                    for cols in (x for r in runs for x in _read(f"{root}/{r}/{b}", None)):
+                        parts.append(cols)
+                        held += len(cols[0])
+                        if held >= chunk:
+                            _write(f"{root}/{name}/{b}/{files}.parquet", _sorted(parts))
+                            parts, held, files = [], 0, files + 1
+                    if held:
+                        _write(f"{root}/{name}/{b}/{files}.parquet", _sorted(parts))
                     yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64())], ["id"])
 
         if len(runs) > 1:
@@ -318,10 +456,13 @@ class History:
             self.scratch.drop(*(f"runs/{r}" for r in runs))
 
 
+def _sorted(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    cols = _joined(parts)
+    return _taken(cols, np.argsort(cols[0], kind="stable"))
+
+
 def batch_order(runs: DataFrame) -> DataFrame:
     """(batch_id, ord): place of each batch by its first non-null ``created_at``; one row a batch, bounded by the number of runs."""
-    from pyspark.sql import Window
-
     first = runs.where("created_at is not null and batch_id is not null").groupBy("batch_id").agg(F.min("created_at").alias("at"))
     return first.select("batch_id", F.dense_rank().over(Window.orderBy("at")).cast("int").alias("ord"))
 

@@ -108,13 +108,13 @@ def brute(rows):
     return {i for i, c, o in cs if any(p < o and (c == d or likeness(c, d) >= 0.6) for _, d, p in cs)}
 
 
-@pytest.mark.parametrize("near", [48, 1])
-def test_history_in_waves(spark, near):
+@pytest.mark.parametrize(("near", "chunk"), [(48, 1 << 21), (1, 1 << 21), (2, 40)])
+def test_history_in_waves(spark, near, chunk):
     texts = corpus(5)
     hot = ["아주 흔한 안내문 문장이 여기 그대로 있습니다 번호 " + str(k) for k in range(60)]  # one prefix for many distinct cores
     rows = [(f"t{k}", t, k * 6 // 300) for k, t in enumerate(texts + hot)] + [("n", None, 2), (None, texts[0], 3), ("u", texts[1], None), ("b", "..", 3), ("t0", texts[0], 0), ("t5", texts[5], 0)]
     kind = "id string, text string, ord int"
-    index, found = history.History(spark, 300, near=near), set()
+    index, found = history.History(spark, 300, near=near, chunk=chunk), set()
     for k in range(6):
         part = [r for r in rows if r[2] == k or r[2] is None and k == 0]
         got = {r.id for r in index.add(spark.createDataFrame(part, kind).withColumn("core", F.lit(0))).collect()}
