@@ -80,7 +80,11 @@ def _recompose(s: pd.Series) -> pd.Series:
 def _rebuilt(df: DataFrame) -> DataFrame:
     """(id, text, look) of rows whose text may change: exploded, mapped, ordered, rebuilt."""
     marks = _mark_class()
-    rows = df.repartition("id").dropDuplicates(["id", "text"])  # one shuffle, of the strings; all that follows stays in place
+    # One shuffle, of the strings; all that follows stays in place. The number of partitions is given, since the
+    # adaptive planner would join them by the size of the strings, which the explosion multiplies.
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    rows = df.repartition(parts, "id").dropDuplicates(["id", "text"])
     segments = rows.select("id", "text", F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s)[^{marks}][{marks}]*|[{marks}]+"), F.lit(0))).alias("seg", "s"))
     points = segments.select("id", F.xxhash64("text").alias("t"), "seg", F.posexplode(F.split("s", "")).alias("pos", "ch")).where("ch <> ''")
     mapped = points.withColumn("cp", F.ascii("ch")).join(F.broadcast(decompositions(df.sparkSession)), "cp", "left")
