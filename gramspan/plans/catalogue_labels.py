@@ -376,6 +376,45 @@ def shard_merge_order(spark, sf_dir):
     return ordered.groupBy(F.col("first_pass_label").alias("label")).agg(F.min("hit_id").alias("first_hit"), F.count(F.lit(1)).alias("n"))
 
 
+@query(f"WITH {E}, {_SPLIT} SELECT hit_id, span_key, {_EXID} AS example_id, {_INST} AS instance_id FROM sp")
+def finalize_examples(spark, sf_dir):
+    """Labelled rows of all units to numbered examples, cleanup issues notwithstanding; the gate itself is tested on small rows."""
+    rows = kept(spark, sf_dir)
+    return longs(pairs.example_ids(pairs.instance_ids(rows)).select("hit_id", "span_key", "example_id", "instance_id"))
+
+
+@query("WITH v AS (SELECT unit_id AS item_id, run_id AS regex_version, row_number() OVER (ORDER BY batch_index, run_id) AS ord FROM batch_runs CROSS JOIN (SELECT min(unit_id) AS unit_id FROM runtime_units)) SELECT item_id, regex_version, ord FROM v ORDER BY ord DESC LIMIT 1")
+def regex_version_select(spark, sf_dir):
+    from pyspark.sql import Window
+
+    unit = table(spark, sf_dir, "runtime_units").agg(F.min("unit_id").alias("item_id")).first()[0]
+    runs = table(spark, sf_dir, "batch_runs")  # some hundred rows
+    versions = runs.select(F.lit(unit).alias("item_id"), F.col("run_id").alias("regex_version"), F.row_number().over(Window.orderBy("batch_index", "run_id")).alias("ord"))
+    return longs(evaluate.latest_version(versions, unit))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .catalogue import _corpus_lines
+
+    return _corpus_lines(spark, sf_dir)
+
+
+@query()
+def corpus_run_rows(spark, sf_dir):
+    """A whole-corpus run: shards of hash ranks with backfill, detection, first pass, stop at a cap."""
+    quota = {"daily_conversation": 400, "news": 200, "non_published": 200, "lecture_notes": 5}
+    rows, _ = pipeline.run_corpus(_lines(spark, sf_dir), test_bundle(), "u_exp", quota, "daily_conversation", 17, 12, pipeline.Caps(tp_target=150), PROFILE, CAUTIONS)
+    return rows.select("shard_index", "hit_id", "corpus_domain", "span_key", "first_pass_label", "first_pass_reason")
+
+
+@query()
+def corpus_run_totals(spark, sf_dir):
+    """Running totals of the same run, shard by shard, with the reason it ended."""
+    quota = {"daily_conversation": 400, "news": 200, "non_published": 200, "lecture_notes": 5}
+    _, totals = pipeline.run_corpus(_lines(spark, sf_dir), test_bundle(), "u_exp", quota, "daily_conversation", 17, 12, pipeline.Caps(tp_target=150), PROFILE, CAUTIONS)
+    return spark.createDataFrame([tuple(t.values()) for t in totals], "shard_index long, n_input_texts long, n_candidates long, tp long, fp long, unclear long, blank long, all_exhausted boolean, backfill_exhausted boolean, stop_reason string")
+
+
 @query()
 def xlsx_roundtrip(spark, sf_dir):
     """The units written as a workbook and read again."""

@@ -179,3 +179,38 @@ def merge_items(examples: list[DataFrame]) -> DataFrame:
     if bad or again:
         raise ValueError(f"refused: {[tuple(b) for b in bad]} {[tuple(a) for a in again]}")
     return pairs.canonical_order(out)
+
+
+def reusable(report: dict, unit_id: str, shard: int, plan: dict[str, tuple[int, int]]) -> bool:
+    """Whether a finished shard's report can stand for running it again: same unit, shard and ranks, whole, its table there."""
+    import os
+
+    if report.get("status") not in ("ok", "empty") or report.get("unit_id") != unit_id or report.get("shard_index") != shard:
+        return False
+    if {d: tuple(x) for d, x in report.get("ranks", {}).items()} != plan:
+        return False
+    return report["status"] == "empty" or os.path.exists(str(report.get("table", "")))
+
+
+def output_paths(unit_ids: list[str], source: str, root: str, batch_id: str | None = None) -> dict[str, str]:
+    """Where a search writes if not told: a folder per unit, names by batch; only for a single unit."""
+    if len(unit_ids) != 1:
+        raise ValueError("give output paths, or one unit")
+    batch, unit = review.batch_of(batch_id, source), unit_ids[0]
+    return {k: f"{root}/{unit}/{unit}_{batch}_{k}.{end}" for k, end in (("detections", "jsonl"), ("review", "csv"), ("report", "json"))}
+
+
+def coerced(config: dict, kinds: dict[str, type], required: tuple[str, ...] = ()) -> dict:
+    """A manifest entry with its values in their types; a missing or unreadable one is an error."""
+    from ..operators.bundle import to_bool
+
+    missing = [k for k in required if config.get(k) in (None, "")]
+    if missing:
+        raise ValueError(f"missing: {missing}")
+    return {k: v if v is None or k not in kinds else to_bool(v) if kinds[k] is bool else kinds[k](v) for k, v in config.items()}
+
+
+def run_summary(report: Report, fields: tuple[str, ...] = ("total", "tp", "fp", "unclear", "next_action", "batches")) -> dict:
+    """The fixed fields of a run's report that a table of many runs shows."""
+    flat = {k: v for step in report.steps.values() if isinstance(step, dict) for k, v in step.items()}
+    return {"status": report.status, "reason": report.reason} | {k: flat.get(k) for k in fields}

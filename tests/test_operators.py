@@ -199,6 +199,20 @@ def test_many_units():
     assert len(pipeline.run_many([{"unit_id": "a"}], run, dry_run=True)["dry_run"]) == 1
 
 
+def test_run_helpers(tmp_path):
+    plan = {"a": (0, 5)}
+    good = {"status": "ok", "unit_id": "u", "shard_index": 2, "ranks": {"a": [0, 5]}, "table": str(tmp_path)}
+    assert pipeline.reusable(good, "u", 2, plan) and not pipeline.reusable(good, "u", 3, plan)
+    assert not pipeline.reusable(good | {"table": "/nowhere"}, "u", 2, plan) and not pipeline.reusable(good, "u", 2, {"a": (0, 6)})
+    assert pipeline.output_paths(["u"], "x/batch_003_y.jsonl", "out")["review"] == "out/u/u_batch_003_review.csv"
+    with pytest.raises(ValueError):
+        pipeline.output_paths(["u", "v"], "x", "out")
+    assert pipeline.coerced({"n": "5", "f": "yes", "x": None}, {"n": int, "f": bool}, ("n",)) == {"n": 5, "f": True, "x": None}
+    with pytest.raises(ValueError):
+        pipeline.coerced({}, {}, ("n",))
+    assert pipeline.run_summary(pipeline.Report("ok", {"summary": {"tp": 3}}))["tp"] == 3
+
+
 def test_metrics_and_epochs(spark):
     df = spark.createDataFrame([(1, 2.0), (0, 1.0), (1, -3.0), (0, -800.0)], "gold_label int, logit double")
     r = evaluate.metrics(evaluate.predicted(df)).first()
