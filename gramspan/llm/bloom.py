@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .worker import trimmed
+
 HASHES, BITS_PER_KEY, MIN_BITS, MAX_BITS, SEGMENT = 4, 12, 16, 28, 1 << 18  # SEGMENT in bytes
 
 
@@ -84,8 +86,8 @@ def seen_filter(keys: DataFrame, n: int) -> tuple[np.ndarray, int]:
 def _filter(keys: DataFrame, n: int, want: int) -> tuple[np.ndarray, int]:
     bits = size_for(n)
     size = 1 << bits >> 3
-    parts = keys.mapInArrow(lambda it: _segments(it, bits), "segment int, once binary, twice binary")
-    merged = parts.repartition(max(1, min(size // SEGMENT, 256)), "segment").mapInArrow(lambda it: _merge(it, bits, want), "segment int, filter binary")
+    parts = keys.mapInArrow(trimmed(lambda it: _segments(it, bits)), "segment int, once binary, twice binary")
+    merged = parts.repartition(max(1, min(size // SEGMENT, 256)), "segment").mapInArrow(trimmed(lambda it: _merge(it, bits, want)), "segment int, filter binary")
     filt = np.zeros(size, np.uint8)
     for row in merged.toLocalIterator():
         k = row.segment * SEGMENT
@@ -105,5 +107,5 @@ def maybe_in(df: DataFrame, h1: str, h2: str, filt: np.ndarray, bits: int, negat
             x, y = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for i in (a, b))
             yield batch.filter(pa.array(has(held, x, y, bits) ^ negate))
 
-    return df.mapInArrow(member, df.schema)
+    return df.mapInArrow(trimmed(member), df.schema)
 

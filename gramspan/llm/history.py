@@ -39,10 +39,11 @@ from .dedupe_exact import hash_core
 from .minhash import bit_sketch, scramble, signatures, tree_keys, trees_needed
 from .skew import hot_keys, sliced_join
 from .textform import core, likeness
+from .worker import trimmed
 
 LIMIT, TARGET, RECALL = 0.6, 0.66, 0.99  # near-same from LIMIT; recall wanted at TARGET, more above it
 NEAR, SKETCH_MIN, ENTRIES = 48, 43, 1 << 19  # sketch bits of 64 that must agree; entries wanted in a bucket
-CHUNK, BLOCK_ROWS, BEST = 1 << 21, 50_000, 4  # entries a task holds at a time (of 28 bytes, some copies); cores packed together; candidates of a text and key in the first pass
+CHUNK, BLOCK_ROWS, BEST = 1 << 21, 25_000, 4  # entries a task holds at a time (of 28 bytes, some copies); cores packed together; candidates of a text and key in the first pass
 GROUPS = 16  # row groups of a run read at a time
 _names = ["key", "id", "sketch", "ord"]
 
@@ -370,7 +371,7 @@ class History:
                     yield from _rest(asked[0], [_unpack(blob)])
 
         n = min(self.forest.buckets, 4000)
-        return blobs.repartition(n, "bucket").sortWithinPartitions("bucket", F.desc("query")).mapInArrow(second_pass if rest else first_pass, "v long, u long")
+        return blobs.repartition(n, "bucket").sortWithinPartitions("bucket", F.desc("query")).mapInArrow(trimmed(second_pass if rest else first_pass), "v long, u long")
 
     def add(self, rows: DataFrame, persist: bool = True) -> DataFrame:
         """(id) of every row that repeats or nearly repeats a text of an earlier ``ord``; rows: id, text, ord.
@@ -381,7 +382,7 @@ class History:
         w, keep = self.waves, self.scratch.keep
         kind = rows.schema["id"].dataType.simpleString()
         rows = rows.select("id", F.col("text").cast("string"), F.col("ord").cast("int")).where("id is not null and ord is not null")
-        made = keep(rows.mapInArrow(_prepare, f"id {kind}, ord int, h1 long, h2 long, core binary"), f"rows{w}")
+        made = keep(rows.mapInArrow(trimmed(_prepare), f"id {kind}, ord int, h1 long, h2 long, core binary"), f"rows{w}")
         filt, bits = bloom.repeats_filter(made.select("h1", "h2"), made.count())
         again = bloom.maybe_in(made, "h1", "h2", filt, bits)
         firsts = again.groupBy("h1").agg(F.min(F.struct("ord", "core")).alias("x")).select("h1", "x.ord", "x.core")
@@ -396,7 +397,7 @@ class History:
             old = self.cores.select("h1")
             exact = exact.unionByName(sliced_join(known, old, ["h1"], hot, "id", "left_semi").select("id"))
             reps = keep(reps.join(old, "h1", "left_anti"), f"new{w}")
-        entries = lambda df: df.select("h1", "ord", "core").mapInArrow(self.forest.entries, "bucket int, blob binary")
+        entries = lambda df: df.select("h1", "ord", "core").mapInArrow(trimmed(self.forest.entries), "bucket int, blob binary")
         tagged = entries(reps).withColumn("query", F.lit(False))
         found_pairs = keep(self._candidates(tagged, f"w{w}" if persist else None, False), f"pairs{w}")
         near_ids = self._verified(found_pairs.where("v <> u").distinct(), reps, w)
@@ -430,7 +431,7 @@ class History:
                 yield pa.RecordBatch.from_arrays([batch.column(0)], ["h1"]).filter(pa.array(ok, pa.bool_()))
 
         joined = pairs.join(cores.select(F.col("h1").alias("u"), F.col("core").alias("cu")), "u").join(cores.select(F.col("h1").alias("v"), F.col("core").alias("cv")), "v")
-        return self.scratch.keep(joined.select("v", "cu", "cv").mapInArrow(check, "h1 long").distinct(), f"near{w}{tag}")
+        return self.scratch.keep(joined.select("v", "cu", "cv").mapInArrow(trimmed(check), "h1 long").distinct(), f"near{w}{tag}")
 
     def merge_runs(self) -> None:
         """Merges all runs into one, a bucket a task; a bucket of over CHUNK entries keeps sorted files of up to that many."""
