@@ -11,7 +11,7 @@ entries become a new run; ``merge_runs`` merges runs.
 
 The search asks whether *some* earlier text is near-same, so where one key has more than ``near``
 earlier entries a text is first held against the ``near`` before it in the finest order and the
-``near`` earliest of the key, and the BEST closest of them are verified; texts not settled by these are held against all the rest, in
+``near`` earliest of the key, of which the BEST closest are verified; texts not settled by these are held against all the rest, in
 blocks, in a second pass. No candidate is dropped, and no task holds all pairs of a key. Nor does
 one hold all entries of a key: entries stream bucket by bucket, and once CHUNK are held, those of
 the keys that make up most of them are matched, written and let go but for their earliest.
@@ -43,7 +43,7 @@ from .worker import trimmed
 
 LIMIT, TARGET, RECALL = 0.6, 0.66, 0.99  # near-same from LIMIT; recall wanted at TARGET, more above it
 NEAR, SKETCH_MIN, ENTRIES = 48, 43, 1 << 19  # sketch bits of 64 that must agree; entries wanted in a bucket
-CHUNK, BLOCK_ROWS, BEST = 1 << 21, 25_000, 4  # entries a task holds at a time (of 28 bytes, some copies); cores packed together; candidates of a text and key in the first pass
+CHUNK, BLOCK_ROWS, BEST = 1 << 21, 25_000, 8  # entries a task holds at a time (of 28 bytes, some copies); cores packed together; candidates of a text and key in the first pass
 GROUPS = 16  # row groups of a run read at a time
 _names = ["key", "id", "sketch", "ord"]
 
@@ -135,8 +135,8 @@ def match(key: np.ndarray, sketch: np.ndarray, order: np.ndarray, fresh: np.ndar
     """Pairs (v, u) of positions with one 40-bit prefix, v fresh, u of an earlier batch, sketches close.
 
     Arrays are sorted by (prefix, ord). With ``rest`` off, at most ``near`` entries before v and the ``near``
-    earliest of its prefix are tried and the BEST closest given; also gives the positions v that have more of
-    either. With it on, all are tried and given.
+    earliest of its prefix are tried, and where there are more entries the BEST closest given; also gives the
+    positions v that have more. With it on, all are tried and given.
     """
     prefix = key >> np.uint64(8)
     n = len(prefix)
@@ -157,20 +157,23 @@ def match(key: np.ndarray, sketch: np.ndarray, order: np.ndarray, fresh: np.ndar
     same = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (order[1:] != order[:-1])))) if n else new
     first = np.repeat(same, np.diff(np.append(same, n)))
     far, who = np.full((BEST, n), 65, np.uint8), np.zeros((BEST, n), np.int64)  # the BEST closest of each v, closest first
-    met = np.zeros(n, np.int64)
+    out_v, out_u = [], []
+    crowded = fresh & (first - start > 2 * near)
 
     def offer(v: np.ndarray, u: np.ndarray) -> None:
         d = _popcount(sketch[v] ^ sketch[u]).astype(np.uint8)
         ok = (order[u] < order[v]) & (d <= 64 - SKETCH_MIN)
+        few = ok & ~crowded[v]
+        out_v.append(v[few])
+        out_u.append(u[few])
+        ok &= crowded[v]
         v, u, d = v[ok], u[ok], d[ok]
-        met[v] += 1
-        for j in range(BEST):
+        for j in range(BEST if len(v) else 0):
             nearer, d0, u0 = d < far[j, v], far[j, v], who[j, v]
             far[j, v], who[j, v] = np.where(nearer, d, d0), np.where(nearer, u, u0)
             d, u = np.where(nearer, d0, d), np.where(nearer, u0, u)
 
     idx = queries[first[queries] > start[queries]]
-    crowded = idx[first[idx] - start[idx] > 2 * near]
     for k in range(1, near + 1):
         idx = idx[first[idx] - k >= start[idx]]
         if not len(idx):
@@ -183,7 +186,7 @@ def match(key: np.ndarray, sketch: np.ndarray, order: np.ndarray, fresh: np.ndar
             break
         offer(idx, start[idx] + k)
     slot, v = np.nonzero(far < 65)
-    return v, who[slot, v], np.union1d(crowded, np.flatnonzero(met > BEST))
+    return np.concatenate([v, *out_v]), np.concatenate([who[slot, v], *out_u]), np.flatnonzero(crowded)
 
 
 def _open(uri: str):
@@ -324,6 +327,7 @@ def _rest(asked: list[np.ndarray], chunks):
         by = np.lexsort((fresh, seen[3], seen[0] >> np.uint64(8)))
         seen, fresh = _taken(seen, by), fresh[by]
         v, u, _ = match(seen[0], seen[2], seen[3], fresh, 0, True)
+        v, u = v[~fresh[u]], u[~fresh[u]]  # those that are asked stand among the entries as well
         if len(v):
             pairs = np.unique(np.stack([seen[1][v], seen[1][u]], 1), axis=0)
             yield _pairs(pairs[:, 0].copy(), pairs[:, 1].copy())
@@ -356,19 +360,26 @@ class History:
                 yield from bucket.end()
 
         def second_pass(batches):
-            at, asked, done = None, [], False
+            at, asked, parts, held = None, [], [], 0
             for b, blob, query in rows(batches):  # of each bucket, what is asked comes first
                 if b != at:
-                    at, asked, done = b, [], False
+                    if parts:
+                        yield from _rest(asked[0], [_joined(parts)])
+                    at, asked, parts, held = b, [], [], 0
                 if query:
                     asked.append(_unpack(blob))
                 elif asked:
-                    if not done:
-                        asked, done = [_joined(asked)], True
-                        wanted = np.unique(asked[0][0] >> np.uint64(8))
+                    if not held:
+                        asked = [_joined(asked)]
                         for r in runs:
-                            yield from _rest(asked[0], _read(f"{root}/{r}/{b}", wanted))
-                    yield from _rest(asked[0], [_unpack(blob)])
+                            yield from _rest(asked[0], _read(f"{root}/{r}/{b}", np.unique(asked[0][0] >> np.uint64(8))))
+                    parts.append(_unpack(blob))
+                    held += len(parts[-1][0])
+                    if sum(len(p[0]) for p in parts) >= chunk:
+                        yield from _rest(asked[0], [_joined(parts)])
+                        parts = []
+            if parts:
+                yield from _rest(asked[0], [_joined(parts)])
 
         n = min(self.forest.buckets, 4000)
         return blobs.repartition(n, "bucket").sortWithinPartitions("bucket", F.desc("query")).mapInArrow(trimmed(second_pass if rest else first_pass), "v long, u long")
