@@ -42,7 +42,7 @@ from .textform import core, likeness
 from .worker import trimmed
 
 LIMIT, TARGET, RECALL = 0.6, 0.66, 0.99  # near-same from LIMIT; recall wanted at TARGET, more above it
-NEAR, SKETCH_MIN, ENTRIES = 1024, 43, 1 << 19  # sketch bits of 64 that must agree; entries wanted in a bucket
+NEAR, SKETCH_MIN, ENTRIES = 4096, 43, 1 << 19  # sketch bits of 64 that must agree; entries wanted in a bucket
 CHUNK, BLOCK_ROWS, BEST = 1 << 21, 25_000, 8  # entries a task holds at a time (of 28 bytes, some copies); cores packed together; candidates of a text and key in the first pass
 GROUPS = 16  # row groups of a run read at a time
 _names = ["key", "id", "sketch", "ord"]
