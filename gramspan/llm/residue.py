@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch
+from .needles import Needles, fold
 from .textform import look
 
 WIDE, COVER, LOOSE, REPEATS = 3, 0.7, 80, 6  # sources of a widely recurring message; share of the letters that messages must cover; longest suspect message; words of a repetition
@@ -122,34 +123,42 @@ def _unquoted(text: str) -> str:
     return out if len(_letters.findall(out)) > 2 else text
 
 
-#: A text with none of these letters or words matches no rule; plain substring search is far cheaper than the rules.
-_SIGNS = tuple("{%$&@#«‹〔【<[(_")
-_VOIDS = ("undefined", "null", "NULL", "None", "NaN", "nil", "N/A")
-_WORDS = (
-    "스크립트", "쿠키", "cript", "CRIPT", "브라우저", "확인 중", "확인하고 있", "확인한 뒤", "확인이 끝", "rowser", "ookies", "human",
-    "입력하", "입력해", "작성해", "작성하", "작성 예정", ": 본문", "기재", "추가해", "추가하", "적어 주", "적으", "넣으", "넣어", "쓰세요", "쓰시오", "써 ", "들어갈 자리", "들어갑니다", "표시됩", "표시할 수", "자리 표시", "샘플", "예시", "임시)", "준비 중", "본문 ", "실제 내용이", "TBD", "TODO", "FIXME",
-    "here", "eadline", "aragraph", "aption", "dummy", "Dummy", "laceholder", "xxx", "XXX", "orem", "psum", "onsectetur", "eiusmod", "veniam",
-    "오류", "장애", "과부하", "문제로 ", "문제가 생겨", "문제가 감지", "에러", "하신 ", "찾으시는", "찾을 수", "찾지 못", "연결할 수", "연결에 실패", "권한이", "비공개 상태", "잘못된", "점검 중", "지연되고", "만료되",
-    "HTTP", "rror", "ateway", "ot found", "ot Found", "OT FOUND", "navailable", "enied", "onnection", "equest", "orbidden", "raceback", "xception", "ndefined", "working", "permission", "hoops", "oops", "orry", "Oops", "cripting", " in ", "to be replaced", "coming soon", "for layout",
-)
+#: A status number that stands free, as every match of the rules for bare numbers has one: quotes become blanks, messages end at these signs.
+_CODE = re.compile(r"""(?<![^\s|'’"”」])[45]\d\d(?=$|[\s|/'‘"“「-])""")
+#: Derived from the rules: a text without these needles matches none of them; plain substring search is far cheaper.
+_blanks, _voids, _lorem, _words = Needles(_PLACEHOLDER), Needles(_EMPTY, _AFTER_LABEL), Needles(_LOREM), Needles(_LATIN)
+_word = re.compile(_LATIN.pattern.removesuffix(r"[\s.,]*")).search  # of a folded text
+_phrases = [(Needles(rule, bare=_CODE), rule) for rule in (_SCRIPT, _FILLER, _ERROR)]
+
+
+def _latin(folded: str) -> bool:
+    return _lorem(folded) or _words(folded) and _word(folded) is not None
+
+
+def explained(folded: str) -> bool:
+    """Whether some message rule may match in a text: False is certain."""
+    return any(may(folded) for may, _ in _phrases) or _latin(folded) or _CODE.search(folded) is not None
 
 
 def filled_in(text: str) -> bool:
     """Whether a placeholder or an empty value stands where a value belongs."""
-    if any(c in text for c in _SIGNS) and _PLACEHOLDER.search(text):
+    low = fold(text)
+    if _blanks(low) and _PLACEHOLDER.search(text):
         return True
-    return any(w in text for w in _VOIDS) and bool(_EMPTY.search(text) or _AFTER_LABEL.search(text))
+    return _voids(low) and bool(_EMPTY.search(text) or _AFTER_LABEL.search(text))
 
 
 @lru_cache(1 << 16)
 def _message(message: str) -> tuple[bool, bool, int, int]:
     """(a rule matches, page furniture matches, letters neither explains, letters) of one line or sentence."""
     total, rest, hit = len(_letters.findall(message)), message, False
-    if any(w in message for w in _WORDS):
-        for pattern in (_SCRIPT, _FILLER, _ERROR):
+    for may, pattern in _phrases:
+        if may(fold(rest)):
             rest, n = pattern.subn(" ", rest)
             hit |= n > 0
-    if len(_LOREM.findall(rest)) >= 2 or not _letters.search(_LATIN.sub("", rest)) and (len(rest.split()) > 1 or _LOREM.search(rest)):
+    if not _latin(fold(rest)):
+        pass
+    elif len(_LOREM.findall(rest)) >= 2 or not _letters.search(_LATIN.sub("", rest)) and (len(rest.split()) > 1 or _LOREM.search(rest)):
         bare = _LATIN.sub(" ", rest)
         hit, rest = hit or bare != rest, bare
     if _status(message):
@@ -191,12 +200,15 @@ def judge(text: str | None) -> tuple[bool, list[str]]:
     text = look(text)
     if repetitive(text):
         return True, []
-    signs, words = any(c in text for c in _SIGNS) or any(w in text for w in _VOIDS), any(w in text for w in _WORDS)
-    if not signs and not words and not _SUSPECT.search(text) and not _status(text):
+    low = fold(text)
+    signs, open_ = _blanks(low) or _voids(low), explained(low) or _SUSPECT.search(text)
+    if not signs and not open_:
         return False, []
     seen = _unquoted(text)
     if signs and filled_in(seen):
         return True, []
+    if not open_:
+        return False, []
     messages = [m.strip() for m in _CUT.split(seen) if m.strip()]
     hit, share = covered(messages)
     if hit and share >= COVER:
