@@ -1,16 +1,18 @@
 """Problem 10: template residue, filler, error pages and script notices in place of content.
 
 Method: a text is cut into messages (lines and sentences); numbers, addresses, dates and times in
-them are masked, and exact hashes of the masked messages are grouped across sources. A message is
-classified by phrase and placeholder rules; one that the phrase rules only suspect counts when its
-hash recurs widely (in WIDE or more sources). A document is a case if a placeholder or a program's
-empty value stands where a value belongs, or if nothing but such messages and page furniture
-(menus, request numbers) makes up its text. Quoted strings and teaching notation are taken out
-first, so texts that discuss such strings are no case.
+them are masked, and exact hashes of the masked messages of all documents are grouped across
+sources. A message that recurs widely (in WIDE or more sources) counts if a rule suspects it, of
+whatever length, or if it alone makes up documents again and again: at least ALONE of them and
+OFTEN of all, in SPREAD of all sources. Mere recurrence is no ground: ordinary sentences recur too.
+Exact for each document, without recurrence: phrase rules, and a placeholder or a program's empty
+value where a value belongs. A document is a case by such a value, or if phrases, counting messages
+and page furniture (menus, request numbers) make up COVER of its letters. Quoted strings and
+teaching notation are taken out first, so texts that discuss such strings are no case.
 
 Defined cases: null, empty and blank texts are no case; a text that repeats is judged each time;
 null ids are left out; extra columns are ignored; an empty table gives no rows. Texts are read whole.
-Only masked messages that a rule suspects are shuffled, as 64-bit hashes with their source.
+Masked messages are shuffled as 64-bit hashes with their source.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ import hashlib
 import re
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ from ..session import Scratch
 from .needles import Needles, fold
 from .textform import look
 
-WIDE, COVER, LOOSE, REPEATS = 3, 0.7, 80, 6  # sources of a widely recurring message; share of the letters that messages must cover; longest suspect message; words of a repetition
+WIDE, COVER, REPEATS = 3, 0.7, 6  # sources of a widely recurring message; share of the letters that messages must cover; words of a repetition
+ALONE, OFTEN, SPREAD = 20, 0.001, 0.25  # documents made of one message that no rule knows: how many, what share of all, in what share of all sources
 
 # Phrase rules, fixed values. KO_THING: what a form asks for; the rest are the turns such messages take.
 _FIELD = r"(?:이름|성명|고객명|회원명|담당자|작성자|날짜|일자|시간|주소|금액|가격|제목|부제목|링크|내용|본문|상품명|회사명|연락처|전화번호|이메일|번호|name|title|date|time|company|address|email|phone|order|link|url|price|amount|user|subject|content|body|[a-z]+(?:_[a-z]+)+|[A-Z]+(?:_[A-Z]+)+|[a-z]+(?:\.[a-z_]+)+|[a-z]+[A-Z][A-Za-z]*)"
@@ -100,18 +102,20 @@ _CHROME = re.compile(
     re.X,
 )
 _QUOTED = re.compile(r"'[^'\n]{1,80}'|‘[^’\n]{1,80}’|\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|「[^」\n]{1,80}」")
-_MASKS = [(re.compile(r"https?://\S+|www\.\S+|[\w.+-]+@[\w-]+\.\S+|/[\w./-]{2,}|[\w-]+(?:\.[\w-]+)+(?::\d+)?"), "<u>"), (re.compile(r"\d{1,4}[년월일시분초](?:\s?\d{1,2}[월일시분초])*|\d{1,4}[-./:]\d{1,2}(?:[-./:]\d{1,4})?"), "<d>"), (re.compile(r"(?=\w*\d)[0-9a-f]{6,}|\d+"), "<n>")]
-#: Words that make a short message suspect though no phrase rule knows it: it then counts if it recurs widely.
+_MASKS = [(re.compile(r"https?://\S+|www\.\S+|[\w.+-]+@[\w-]+\.\S+|/[\w./-]{2,}|[\w-]+(?:\.[\w-]+)+(?::\d+)?"), "<u>"), (re.compile(r"\d{1,4}[년월일시분초](?:\s?\d{1,2}[월일시분초])*|\d{1,4}[-./:]\d{1,2}(?:[-./:]\d{1,4})?"), "<d>"), (re.compile(r"(?=[0-9a-f]{6})(?=\w*\d)[0-9a-f]{6,}|\d+"), "<n>")]
+#: Words that make a message suspect though no phrase rule knows it: it then counts if it recurs widely.
 _SUSPECT = re.compile(r"오류|장애|접속|페이지|서버|브라우저|스크립트|쿠키|입력|점검 중|준비 중|예정|(?i:\b(?:error|javascript|browser|server|denied|unavailable|timeout|enable)\b)")
 _CUT = re.compile(r"[\n\r|]+|\s[/>-]\s|(?<=[.!?])\s+")
+_digit = re.compile(r"\d").search
 _letters = re.compile(r"\w")
 _status = re.compile(r"\s*[45]\d\d\s*").fullmatch  # a bare status number
 
 
 def masked(message: str) -> str:
     """The message in lower case, with numbers, addresses, dates and times masked and blanks made one."""
-    for pattern, by in _MASKS:
-        message = pattern.sub(by, message)
+    for k, (pattern, by) in enumerate(_MASKS):
+        if _digit(message) if k else "@" in message or "/" in message or "." in message[:-1]:  # else it can't match
+            message = pattern.sub(by, message)
     return " ".join(message.lower().split())
 
 
@@ -127,6 +131,7 @@ def _unquoted(text: str) -> str:
 _CODE = re.compile(r"""(?<![^\s|'’"”」])[45]\d\d(?=$|[\s|/'‘"“「-])""")
 #: Derived from the rules: a text without these needles matches none of them; plain substring search is far cheaper.
 _blanks, _voids, _lorem, _words = Needles(_PLACEHOLDER), Needles(_EMPTY, _AFTER_LABEL), Needles(_LOREM), Needles(_LATIN)
+_suspects, _furniture = Needles(_SUSPECT), Needles(_CHROME)
 _word = re.compile(_LATIN.pattern.removesuffix(r"[\s.,]*")).search  # of a folded text
 _phrases = [(Needles(rule, bare=_CODE), rule) for rule in (_SCRIPT, _FILLER, _ERROR)]
 
@@ -163,85 +168,91 @@ def _message(message: str) -> tuple[bool, bool, int, int]:
         hit, rest = hit or bare != rest, bare
     if _status(message):
         return True, False, 0, total
-    bare, n = _CHROME.subn(" ", rest) if len(rest) < 400 else (rest, 0)
+    bare, n = _CHROME.subn(" ", rest) if len(rest) < 400 and _furniture(fold(rest)) else (rest, 0)
     return hit, n > 0, len(_letters.findall(bare)), total
 
 
-def covered(messages: list[str], known: tuple[str, ...] = ()) -> tuple[bool, float]:
-    """(whether a message rule matches, share of the letters that messages and page furniture make up).
-
-    Ends early, with the same verdict, once the unexplained letters are too many for COVER.
-    """
-    total = sum(map(len, messages))
-    hit, letters, left = False, 0, 0
-    for message in messages:
-        if message in known:
-            n = len(_letters.findall(message))
-            hit, letters = True, letters + n
-            continue
-        rule, _, rest, n = _message(message)
-        hit |= rule
-        letters, left = letters + n, left + rest
-        if left > (1 - COVER) * total:
-            return hit, 0.0
-    return hit, 1 - left / letters if letters else 0.0
-
-
 def repetitive(text: str) -> bool:
     """Nothing but the same few words over and over."""
     words = text.split(None, 60)
     return len(words) >= REPEATS and len(set(words[:60])) <= 4 and len(set(text.split())) <= 4
 
 
-def judge(text: str | None) -> tuple[bool, list[str]]:
-    """(is a case by the rules, suspect messages of an open case: to be settled by recurrence)."""
+def weigh(text: str | None) -> tuple[bool, list[tuple[str, int, int, bool]]]:
+    """(is a case by the rules, (message, letters, letters that nothing explains, suspect) of every message)."""
     if not text or not text.strip():
         return False, []
     text = look(text)
-    if repetitive(text):
-        return True, []
     low = fold(text)
-    signs, open_ = _blanks(low) or _voids(low), explained(low) or _SUSPECT.search(text)
-    if not signs and not open_:
-        return False, []
-    seen = _unquoted(text)
-    if signs and filled_in(seen):
-        return True, []
-    if not open_:
-        return False, []
+    case, seen = repetitive(text), _unquoted(text)
+    case = case or (_blanks(low) or _voids(low)) and filled_in(seen)
     messages = [m.strip() for m in _CUT.split(seen) if m.strip()]
-    hit, share = covered(messages)
-    if hit and share >= COVER:
-        return True, []
-    loose = [m for m in messages if len(m) <= LOOSE and _SUSPECT.search(m)]
-    return False, loose if loose and covered(messages, tuple(loose))[1] >= COVER else []
+    suspect = _suspects(low)
+    if not explained(low) and not _furniture(low):
+        return case, [(m, n, n, suspect and _SUSPECT.search(m) is not None) for m in messages for n in [len(_letters.findall(m))]]
+    hit, out = False, []
+    for m in messages:
+        rule, _, rest, n = _message(m)
+        hit |= rule
+        out.append((m, n, rest, suspect and _SUSPECT.search(m) is not None))
+    return case or hit and _most(sum(rest for _, _, rest, _ in out), sum(n for _, n, _, _ in out)), out
+
+
+def _most(left: int, total: int) -> bool:
+    """Whether all but the letters ``left`` are COVER of ``total``."""
+    return total > 0 and 1 - left / total >= COVER
+
+
+def judge(text: str | None) -> tuple[bool, list[str]]:
+    """(is a case by the rules, suspect messages of an open case: to be settled by recurrence)."""
+    case, messages = weigh(text)
+    return case, [] if case else [m for m, _, _, suspect in messages if suspect]
+
+
+def _number(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+_KIND = pa.struct([("m", pa.int64()), ("rest", pa.int32()), ("suspect", pa.bool_()), ("alone", pa.bool_())])
 
 
 def _judged(batches):
     for batch in batches:
+        cases, docs, lefts, totals, ends, flat = [], [], [], [], [0], ([], [], [], [])
+        for text in batch.column(2).to_pylist():
+            case, messages = weigh(text)
+            total, own = sum(n for _, n, _, _ in messages), {}
+            for m, n, rest, suspect in messages:
+                one = own.setdefault(_number(masked(m)), [0, 0, False])
+                one[0], one[1], one[2] = one[0] + n, one[1] + rest, one[2] or suspect
+            for h, (n, rest, suspect) in own.items():
+                for column, x in zip(flat, (h, rest, suspect, _most(total - n, total))):
+                    column.append(x)
+            cases.append(bool(case))
+            docs.append(_number(text))
+            lefts.append(sum(rest for _, _, rest, _ in messages))
+            totals.append(total)
+            ends.append(len(flat[0]))
+        own = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(flat, _KIND)], fields=list(_KIND))
         sources = [" ".join((s or "").split()) for s in batch.column(1).to_pylist()]
-        ids, found, src, hashes, open_ = batch.column(0), [], [], [], []
-        for k, (text, source) in enumerate(zip(batch.column(2).to_pylist(), sources)):
-            case, loose = judge(text)
-            if case or loose:
-                found.append(k)
-                src.append(source)
-                open_.append(not case)
-                hashes.append([int.from_bytes(hashlib.blake2b(masked(m).encode(), digest_size=8).digest(), "little", signed=True) for m in loose])
-        take = pa.array(np.array(found, np.int64))
-        yield pa.RecordBatch.from_arrays([ids.take(take), pa.array(src, pa.string()), pa.array(open_, pa.bool_()), pa.array(hashes, pa.list_(pa.int64()))], ["id", "source", "open", "messages"])
+        columns = [batch.column(0), pa.array(sources, pa.string()), pa.array(cases, pa.bool_()), pa.array(docs, pa.int64()), pa.array(lefts, pa.int64()), pa.array(totals, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own)]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "source", "is_case", "doc", "left_over", "total", "messages"])
 
 
 def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id) of documents whose text is residue."""
-    kind = df.schema[id_col].dataType.simpleString()
+    kind, scratch = df.schema[id_col].dataType.simpleString(), Scratch(df.sparkSession, "residue")
     rows = df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    judged = Scratch(df.sparkSession, "residue").keep(rows.mapInArrow(_judged, f"id {kind}, source string, open boolean, messages array<long>"), "judged")
-    loose = judged.where("open").select("id", "source", F.explode(F.array_distinct("messages")).alias("m"))
-    wide = loose.groupBy("m").agg(F.approx_count_distinct("source").alias("n")).where(F.col("n") >= WIDE).select("m")
-    settled = loose.join(wide, "m", "left").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    known = loose.join(wide, "m").groupBy("id").agg(F.count(F.lit(1)).alias("k")).join(settled, "id").where("k = n").select("id")
-    return judged.where("not open").select("id").unionByName(known).distinct()
+    judged = scratch.keep(rows.mapInArrow(_judged, f"id {kind}, source string, is_case boolean, doc long, left_over long, total long, messages array<struct<m: long, rest: int, suspect: boolean, alone: boolean>>"), "judged")
+    whole = judged.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source").alias("sources")).first()
+    often = max(ALONE, OFTEN * whole["n"])
+    messages = judged.select("source", F.inline("messages")).groupBy("m", "source").agg(F.max("suspect").alias("suspect"), F.sum(F.col("alone").cast("long")).alias("alone"))
+    wide = messages.groupBy("m").agg(F.approx_count_distinct("source").alias("n"), F.max("suspect").alias("suspect"), F.sum("alone").alias("alone")).where(F.col("n") >= WIDE)
+    counting = scratch.keep(wide.where(F.col("suspect") | (F.col("alone") >= often) & (F.col("n") >= SPREAD * whole["sources"])).select("m"), "counting")
+    # A text given twice under one id is one text here, so that its letters are not counted twice.
+    known = judged.where("not is_case").select("id", "doc", "left_over", "total", F.inline("messages")).join(counting, "m").dropDuplicates(["id", "doc", "m"])
+    settled = known.groupBy("id", "doc").agg(F.sum("rest").alias("rest"), F.max("left_over").alias("left_over"), F.max("total").alias("total")).where(F.expr(f"total > 0 and 1 - (left_over - rest) / total >= {COVER}D")).select("id")
+    return judged.where("is_case").select("id").unionByName(settled).distinct()
 
 
 def without_residue(df: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -49,3 +49,15 @@ def test_named_texts_are_cases():
 def test_rule_without_needles_is_refused():
     with pytest.raises(ValueError):
         Needles(R.re.compile(r"abc|\d+"))
+
+
+def test_any_message_is_grouped(spark):
+    said = "The old gate keeper sends his regards"  # ordinary: recurs, but not that often
+    long = "귀하께서 지금 보고 계신 화면은 저희 쪽 서버 사정 탓에 원래 모습 그대로 나오지 못하고 있으니 이 점 널리 헤아려 주시고 나중에 한가한 때에 다시 들러 주시면 고맙겠다는 말씀을 드립니다"
+    rows = [(k, f"s{k % 4}", "Just a moment...") for k in range(24)] + [(100 + k, f"s{k}", said) for k in range(4)] + [(200 + k, f"s{k}", long) for k in range(3)]
+    rows += [(300, "s1", "Just a moment... 그런데 이 글에는 다른 이야기가 아주 길게 이어진다고 한다"), (301, "s1", "Just a moment...\n홈 검색")]
+    # Half of a text is such a message; given twice under one id it still is half.
+    rows += [(302, "s1", "Just a moment...\n그것은 달랐다고 했다")] * 2 + [(303, "s1", "오늘은 비가 온다고 했다")]
+    assert len(long) > 80
+    got = {r.id for r in R.residue(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert got == {*range(24), 200, 201, 202, 301}
