@@ -107,10 +107,15 @@ _MASKS = [(re.compile(r"https?://\S+|www\.\S+|[\w.+-]+@[\w-]+\.\S+|/[\w./-]{2,}|
 _SUSPECT = re.compile(r"오류|장애|접속|페이지|서버|브라우저|스크립트|쿠키|입력|점검 중|준비 중|예정|(?i:\b(?:error|javascript|browser|server|denied|unavailable|timeout|enable)\b)")
 _CUT = re.compile(r"[\n\r|]+|\s[/>-]\s|(?<=[.!?])\s+")
 _digit = re.compile(r"\d").search
-_letters = re.compile(r"\w")
+_others = re.compile(r"\W+")
+_letter = re.compile(r"\w").search
 _status = re.compile(r"\s*[45]\d\d\s*").fullmatch  # a bare status number
 
 
+def _letters(text: str) -> int:
+    return len(_others.sub("", text))
+
+
 def masked(message: str) -> str:
     """The message in lower case, with numbers, addresses, dates and times masked and blanks made one."""
     for k, (pattern, by) in enumerate(_MASKS):
@@ -124,7 +129,7 @@ def _unquoted(text: str) -> str:
     if not any(q in text for q in "'‘\"“「"):
         return text
     out = _QUOTED.sub(" ", text)
-    return out if len(_letters.findall(out)) > 2 else text
+    return out if _letters(out) > 2 else text
 
 
 #: A status number that stands free, as every match of the rules for bare numbers has one: quotes become blanks, messages end at these signs.
@@ -156,20 +161,20 @@ def filled_in(text: str) -> bool:
 @lru_cache(1 << 16)
 def _message(message: str) -> tuple[bool, bool, int, int]:
     """(a rule matches, page furniture matches, letters neither explains, letters) of one line or sentence."""
-    total, rest, hit = len(_letters.findall(message)), message, False
+    total, rest, hit = _letters(message), message, False
     for may, pattern in _phrases:
         if may(fold(rest)):
             rest, n = pattern.subn(" ", rest)
             hit |= n > 0
     if not _latin(fold(rest)):
         pass
-    elif len(_LOREM.findall(rest)) >= 2 or not _letters.search(_LATIN.sub("", rest)) and (len(rest.split()) > 1 or _LOREM.search(rest)):
+    elif len(_LOREM.findall(rest)) >= 2 or not _letter(_LATIN.sub("", rest)) and (len(rest.split()) > 1 or _LOREM.search(rest)):
         bare = _LATIN.sub(" ", rest)
         hit, rest = hit or bare != rest, bare
     if _status(message):
         return True, False, 0, total
     bare, n = _CHROME.subn(" ", rest) if len(rest) < 400 and _furniture(fold(rest)) else (rest, 0)
-    return hit, n > 0, len(_letters.findall(bare)), total
+    return hit, n > 0, _letters(bare), total
 
 
 def repetitive(text: str) -> bool:
@@ -188,12 +193,16 @@ def weigh(text: str | None) -> tuple[bool, list[tuple[str, int, int, bool]]]:
     case = case or (_blanks(low) or _voids(low)) and filled_in(seen)
     messages = [m.strip() for m in _CUT.split(seen) if m.strip()]
     suspect = _suspects(low)
-    if not explained(low) and not _furniture(low):
-        return case, [(m, n, n, suspect and _SUSPECT.search(m) is not None) for m in messages for n in [len(_letters.findall(m))]]
+    ruled, furnished = explained(low), _furniture(low)
     hit, out = False, []
     for m in messages:
-        rule, _, rest, n = _message(m)
-        hit |= rule
+        if ruled:
+            rule, _, rest, n = _message(m)
+            hit |= rule
+        else:  # at most page furniture in it
+            n = rest = _letters(m)
+            if furnished and len(m) < 400 and _furniture(fold(m)):
+                rest = _letters(_CHROME.sub(" ", m))
         out.append((m, n, rest, suspect and _SUSPECT.search(m) is not None))
     return case or hit and _most(sum(rest for _, _, rest, _ in out), sum(n for _, n, _, _ in out)), out
 
