@@ -173,7 +173,7 @@ def _message(message: str) -> tuple[bool, bool, int, int]:
         hit, rest = hit or bare != rest, bare
     if _status(message):
         return True, False, 0, total
-    bare, n = _CHROME.subn(" ", rest) if len(rest) < 400 and _furniture(fold(rest)) else (rest, 0)
+    bare, n = _CHROME.subn(" ", rest) if _furniture(fold(rest)) else (rest, 0)
     return hit, n > 0, _letters(bare), total
 
 
@@ -201,7 +201,7 @@ def weigh(text: str | None) -> tuple[bool, list[tuple[str, int, int, bool]]]:
             hit |= rule
         else:  # at most page furniture in it
             n = rest = _letters(m)
-            if furnished and len(m) < 400 and _furniture(fold(m)):
+            if furnished and _furniture(fold(m)):
                 rest = _letters(_CHROME.sub(" ", m))
         out.append((m, n, rest, suspect and _SUSPECT.search(m) is not None))
     return case or hit and _most(sum(rest for _, _, rest, _ in out), sum(n for _, n, _, _ in out)), out

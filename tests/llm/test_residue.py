@@ -61,3 +61,11 @@ def test_any_message_is_grouped(spark):
     assert len(long) > 80
     got = {r.id for r in R.residue(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
     assert got == {*range(24), 200, 201, 202, 301}
+
+
+def test_furniture_of_any_length_and_share_of_wide_messages(spark):
+    assert R.judge("요청하신 페이지를 찾을 수 없습니다 " + "홈 검색 공지사항 로그인 " * 60)[0]
+    wide = "이 브라우저 버전은 지원 대상이 아니므로 새 판으로 바꾸어야 합니다"
+    rows = [(k, f"s{k}", wide) for k in range(3)] + [(9, "s1", f"{wide}\n서버 가나")]
+    got = {r.id for r in R.residue(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert got == {0, 1, 2, 9}
