@@ -218,6 +218,12 @@ def judge(text: str | None) -> tuple[bool, list[str]]:
     return case, [] if case else [m for m, _, _, suspect in messages if suspect]
 
 
+@lru_cache(1 << 12)
+def _source(name: str | None) -> str:
+    """Spellings of one source are one; all documents without a source count as one unknown source."""
+    return " ".join(look(name or "").lower().split())
+
+
 def _number(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
@@ -243,7 +249,7 @@ def _judged(batches):
             totals.append(total)
             ends.append(len(flat[0]))
         own = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(flat, _KIND)], fields=list(_KIND))
-        sources = [" ".join((s or "").split()) for s in batch.column(1).to_pylist()]
+        sources = [_source(s) for s in batch.column(1).to_pylist()]
         columns = [batch.column(0), pa.array(sources, pa.string()), pa.array(cases, pa.bool_()), pa.array(docs, pa.int64()), pa.array(lefts, pa.int64()), pa.array(totals, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own)]
         yield pa.RecordBatch.from_arrays(columns, ["id", "source", "is_case", "doc", "left_over", "total", "messages"])
 
@@ -256,7 +262,7 @@ def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     whole = judged.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source").alias("sources")).first()
     often = max(ALONE, OFTEN * whole["n"])
     messages = judged.select("source", F.inline("messages")).groupBy("m", "source").agg(F.max("suspect").alias("suspect"), F.sum(F.col("alone").cast("long")).alias("alone"))
-    wide = messages.groupBy("m").agg(F.approx_count_distinct("source").alias("n"), F.max("suspect").alias("suspect"), F.sum("alone").alias("alone")).where(F.col("n") >= WIDE)
+    wide = messages.groupBy("m").agg(F.count(F.lit(1)).alias("n"), F.max("suspect").alias("suspect"), F.sum("alone").alias("alone")).where(F.col("n") >= WIDE)
     counting = scratch.keep(wide.where(F.col("suspect") | (F.col("alone") >= often) & (F.col("n") >= SPREAD * whole["sources"])).select("m"), "counting")
     # A text given twice under one id is one text here, so that its letters are not counted twice.
     known = judged.where("not is_case").select("id", "doc", "left_over", "total", F.inline("messages")).join(counting, "m").dropDuplicates(["id", "doc", "m"])

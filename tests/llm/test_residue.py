@@ -69,3 +69,13 @@ def test_furniture_of_any_length_and_share_of_wide_messages(spark):
     rows = [(k, f"s{k}", wide) for k in range(3)] + [(9, "s1", f"{wide}\n서버 가나")]
     got = {r.id for r in R.residue(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
     assert got == {0, 1, 2, 9}
+
+
+def test_sources_are_counted_exactly(spark):
+    text = "브라우저 버전이 낮음"
+    schema = "doc_id long, source string, text string"
+    one = [(k, s, text) for k, s in enumerate(["Ａ", " a", "A", None, " "])]
+    assert R.residue(spark.createDataFrame(one, schema)).count() == 0
+    # Every message comes from exactly three sources.
+    rows = [(3 * k + j, f"s{3 * k + j}", f"브라우저 이름 {chr(0xAC00 + k)} 낮음") for k in range(700) for j in range(3)]
+    assert R.residue(spark.createDataFrame(rows, schema)).count() == len(rows)
