@@ -9,6 +9,7 @@ import numpy as np
 from .textform import pieces
 
 _mix = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+LEVELS, FIELD = 5, 12  # fields of a prefix key and their bits: 60 bits, enough for 150 ** 5 texts
 BLOCK = 2048  # cores at a time, so that a block of pieces stays in the processor's cache
 
 
@@ -52,6 +53,21 @@ def tree_keys(sig: np.ndarray, depth: int, trees: int) -> np.ndarray:
     return keys
 
 
+def prefix_keys(sig: np.ndarray, depth: int, trees: int) -> np.ndarray:
+    """(rows, trees) keys of LEVELS fields of FIELD bits, one minwise value each; the first ``depth`` values of a tree are its own."""
+    keys = np.zeros((len(sig), trees), np.uint64)
+    hashed = scramble(sig.astype(np.uint64)) >> np.uint64(64 - FIELD)
+    for t in range(trees):
+        for j in range(LEVELS):
+            keys[:, t] = keys[:, t] << np.uint64(FIELD) | hashed[:, (t * depth + j) % sig.shape[1]]
+    return keys
+
+
+def prefix_of(key: np.ndarray, fields: int) -> np.ndarray:
+    """The first fields of keys, as numbers."""
+    return key >> np.uint64(FIELD * (LEVELS - fields))
+
+
 def bit_sketch(sig: np.ndarray) -> np.ndarray:
     """One bit of each of the first 64 minwise values: equal bits ~ (1 + likeness) / 2."""
     bits = (sig[:, :64] * np.uint32(0x85EBCA6B)) >> np.uint32(31)

@@ -140,22 +140,33 @@ def test_repeats_of_history_and_order(spark):
     assert history.repeats_of_history(df.where("false"), runs).count() == 0
 
 
-def test_match_settles_what_the_first_pass_leaves_open():
+def test_match_gives_all_or_leaves_open():
     rng = np.random.default_rng(3)
-    n = 400
-    key = np.sort(rng.integers(0, 3, n, dtype=np.uint64)) << np.uint64(8)
-    order = rng.integers(0, 9, n).astype(np.uint32)
-    by = np.lexsort((order, key))
-    key, order = key[by], order[by]
-    sketch = np.zeros(n, np.uint64)
-    fresh = np.ones(n, bool)
-    v, u, more = history.match(key, sketch, order, fresh, 2, False)
-    first = set(zip(v.tolist(), u.tolist()))
-    v, u, _ = history.match(key, sketch, order, np.isin(np.arange(n), more), 2, True)
-    every = {(a, b) for a in range(n) for b in range(a) if key[a] == key[b] and order[b] < order[a]}
-    settled = first | set(zip(v.tolist(), u.tolist()))
-    assert settled <= every and {a for a, _ in every} == {a for a, _ in settled}
-    assert all((a, b) in settled for a, b in every if a in set(more.tolist()))
+    n, depth = 600, 3
+    key = np.sort((rng.integers(0, 4, n, dtype=np.uint64) << np.uint64(24)) | rng.integers(0, 6, n, dtype=np.uint64))
+    order, fresh = rng.integers(0, 9, n).astype(np.uint32), rng.random(n) < 0.8
+    sketch = rng.integers(0, 2**63, n, dtype=np.uint64) & np.uint64(0xFFFF)
+    every = {(a, b) for a in range(n) for b in range(n) if fresh[a] and key[a] >> np.uint64(24) == key[b] >> np.uint64(24) and order[b] < order[a]}
+    for near in (2, 20, 1000):
+        v, u, more = history.match(key, sketch, order, fresh, near, depth)
+        got, open_ = set(zip(v.tolist(), u.tolist())), set(more.tolist())
+        assert got <= every and len(got) == len(v) and open_ <= {a for a, _ in every}
+        assert all((a, b) in got for a, b in every if a not in open_ and 64 - bin(int(sketch[a] ^ sketch[b])).count("1") >= history.SKETCH_MIN)
+    assert history.match(key[:0], sketch[:0], order[:0], fresh[:0], 5, depth)[0].size == 0
+
+
+def test_index_opened_again_reads_few_slices(spark, tmp_path):
+    texts, folder = corpus(11, 200), f"file://{tmp_path}/index"
+    rows = [(f"t{k}", t, 1) for k, t in enumerate(texts)] + [("s1", "가", 1), ("s2", "나b", 1)]
+    kind = "id string, text string, ord int"
+    assert history.History(spark, 200, folder=folder, slice_rows=4).add(spark.createDataFrame(rows, kind)).count() == 0
+    index = history.History.open(spark, folder)
+    late = [("a", texts[7] + " 끝", 2), ("b", "전혀 다른 이야기를 새로 적은 글입니다", 2), ("c", "가!", 2), ("d", "나", 2)]
+    assert {r.id for r in index.add(spark.createDataFrame(late, kind)).collect()} == {"a", "c"}
+    read, there = index.slices_read()
+    assert 0 < read < 0.15 * there
+    again = history.History.open(spark, folder)
+    assert len(again.runs) == 2 and {r.id for r in again.add(spark.createDataFrame([("e", late[1][1], 3)], kind)).collect()} == {"e"}
 
 
 def test_overlap(spark):
