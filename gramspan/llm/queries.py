@@ -132,6 +132,14 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_report(spark, p7_split(spark, sf_dir), targets_of(_table(spark, sf_dir, "split_targets")))
 
 
+def p7_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every label's records are spread over the new splits."""
+    from .grouped_split import label_report, split_groups, targets_of
+
+    gold, targets = _table(spark, sf_dir, "df003_gold_50"), targets_of(_table(spark, sf_dir, "split_targets"))
+    return label_report(gold, split_groups(gold, targets, _STRATA), targets, _STRATA)
+
+
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every text, or piece of an overlong text, goes for each kind of container."""
     from .packing import pack
