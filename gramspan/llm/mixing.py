@@ -1,21 +1,27 @@
 """Problem 9: mixing sources to target weights, by soft membership.
 
 Method: documents with a source known to a mix are labelled. A multinomial naive Bayes classifier
-over hashed character pairs is fitted on a bounded sample of them and predicts, for documents
-without a known source, the posterior of each source; a labelled document belongs to its source
-alone. Nonnegative document rates of at most ``max_repeats`` are then fitted by projected-gradient
-least squares on the difference between expected source totals (in tokens) and targets. A rate is
-a function of the membership and the residuals so far, so an iteration ships one small matrix each
-way and no state. Rates become whole repeats: each document's rate rounded down, and one more for
-some: long documents by a toss at their fraction, then others in random order up to the tokens
-that the fractions add up to, by prefix sums, which evens out the tosses.
+over hashed character pairs is fitted on a bounded sample of them; how far its evidence is trusted
+(a factor on log likelihoods, 0 leaving the prior) is chosen by the log loss on a held-out part of the
+sample. It predicts every document's posterior over the sources. A label is evidence too: it is right
+with probability TRUST, so a labelled document mostly belongs to its own source, and one without a
+source is spread over those that its text suggests. Nonnegative document rates of at most
+``max_repeats`` are then fitted by projected-gradient least squares on the difference between
+expected source totals (in tokens) and targets. A rate is a function of membership and residuals so
+far; memberships are rounded to 1 / PARTS, so an iteration passes over distinct memberships, those of
+one source alone being worked out on the driver, and ships one small matrix each way. Rates become
+whole repeats: each document's rate rounded down, and one more for some: long documents by a toss at
+their fraction, then others in random order up to the tokens that the fractions add up to, by prefix
+sums, which evens out the tosses.
 
 Defined cases: sources are compared by look, lower case, without blanks; null or blank sources are
 unlabelled, sources no mix names take no part; weights count relative to their mix's sum; a null
 or non-positive weight, budget or repeat limit gives no tokens; sources without documents get none
 and are reported; a source of several rows in one mix adds its weights, with the largest limit; a
-repeated document id counts once; empty texts have no tokens and are left out; extra columns are
-ignored; empty tables give no rows. Mixes and their sources (MOST_TARGETS rows) are on the driver.
+repeated document id counts once; of documents with one text only one takes part (a labelled one
+before others, then the smallest id), since no text may be used more often than its limit; empty
+texts have no tokens and are left out; extra columns are ignored; empty tables give no rows. Mixes
+and their sources (MOST_TARGETS rows) are on the driver.
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ from .textform import look
 from .tokens import VOCABULARY, count
 
 SAMPLE, BUCKETS, ITERATIONS, CLOSE, MOST_TARGETS, LONG = 20_000, 4096, 25, 1e-3, 10_000, 100  # labelled rows to fit on; hashed features; bounds of the fit; long: over a LONG-th of what fractions add up to
+TRUST, PARTS, HELD, TEMPERS = 0.999, 64, 4, (0.0, 0.01, 0.03, 0.1, 0.3, 1.0)  # a label is right; memberships in parts; one in HELD sample rows is held out; factors tried on the evidence
 _FREE = -1  # label of a document whose source no mix knows because it has none
 
 
@@ -57,13 +64,24 @@ class Bayes:
         self.log = np.log(counts + smooth) - np.log((counts + smooth).sum(1, keepdims=True))
         self.prior = np.log(docs + 1.0) - np.log((docs + 1.0).sum())
 
-    def posterior(self, x: np.ndarray) -> np.ndarray:
+    def posterior(self, x: np.ndarray, temper: float = 1.0) -> np.ndarray:
         n = max(x.sum(), 1.0)
-        score = self.prior + self.log @ x * min(1.0, 200.0 / n)  # pairs of one text aren't independent: long texts are tempered
+        score = self.prior + temper * min(1.0, 200.0 / n) * (self.log @ x)  # pairs of one text aren't independent: long texts are tempered
         p = np.exp(score - score.max())
         return p / p.sum()
 
 
+def membership(p: np.ndarray, label: int) -> list[int] | None:
+    """Parts of PARTS by source, from a posterior and a label (or _FREE); none if all of it is the label's."""
+    if label >= 0:
+        p = p * np.where(np.arange(len(p)) == label, TRUST, (1 - TRUST) / max(1, len(p) - 1))
+        p = p / p.sum() if p.sum() > 0 else np.arange(len(p)) == label
+    exact = p * PARTS
+    parts = np.floor(exact).astype(int)
+    parts[np.argsort(parts - exact, kind="stable")[: PARTS - parts.sum()]] += 1
+    return None if label >= 0 and parts[label] == PARTS else parts.tolist()
+
+
 class Targets:
     """Mixes by sources: token targets and repeat limits."""
 
@@ -96,97 +114,122 @@ def rates(member: np.ndarray, targets: Targets, steps: list[np.ndarray]) -> np.n
     return r
 
 
-def _members(batch, n: int) -> np.ndarray:
-    labels = batch.column("label").to_numpy()
-    out = np.zeros((len(labels), n))
-    known = labels >= 0
-    out[np.flatnonzero(known), labels[known]] = 1
-    for k in np.flatnonzero(~known):
-        out[k] = batch.column("posterior")[int(k)].as_py()
-    return out
+def _soft(column) -> np.ndarray:
+    """(rows, sources) memberships of a column of parts without nulls."""
+    return np.array(column.to_pylist(), float).reshape(len(column), -1) / PARTS
+
+
+class Classifier:
+    """Posteriors of sources, learnt from a bounded sample of labelled documents; ``held_out`` is what it did on the rest of it."""
+
+    def __init__(self, docs: DataFrame, targets: Targets, scratch: Scratch, sample: int, seed: int):
+        n, place = len(targets.sources), {s: k for k, s in enumerate(targets.sources)}
+        known = docs.where(F.trim("source") != "").count()
+        share = min(1.0, sample / max(known, 1))
+        toss = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20))
+        picked = docs.where((toss < int(share * (1 << 20))) & F.col("source").isNotNull()).withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 9), "id"), F.lit(HELD)) == 0)
+
+        def labelled_texts(batch):
+            for s, t in zip(batch.column("source").to_pylist(), batch.column("text").to_pylist()):
+                k = place.get(clean_source(s))
+                if k is not None and t:
+                    yield k, features(t)
+
+        def learn(batches):
+            counts, sizes = np.zeros((n, BUCKETS)), np.zeros(n)
+            for batch in batches:
+                for k, x in labelled_texts(batch):
+                    counts[k] += x
+                    sizes[k] += 1
+            there = np.flatnonzero(sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(sizes[there]), pa.array(counts[there].tolist(), pa.list_(pa.float64()))], ["label", "docs", "counts"])
+
+        # One row per source and task, summed by source and feature before it reaches the driver: sources x BUCKETS numbers.
+        learnt = scratch.keep(picked.where("not held").mapInArrow(learn, "label int, docs double, counts array<double>"), "learnt")
+        counts, sizes = np.zeros((n, BUCKETS)), np.zeros(n)
+        for r in learnt.groupBy("label").agg(F.sum("docs").alias("docs")).collect():
+            sizes[r["label"]] = r["docs"]
+        summed = learnt.select("label", F.posexplode("counts").alias("f", "c")).where("c > 0").groupBy("label", "f").agg(F.sum("c").alias("c"))
+        for r in summed.groupBy("label").agg(F.collect_list(F.struct("f", "c")).alias("row")).toLocalIterator():  # at most BUCKETS each
+            for f, c in r["row"]:
+                counts[r["label"], f] = c
+        self.model = model = docs.sparkSession.sparkContext.broadcast((counts, sizes))  # sources x BUCKETS numbers, whatever the input
+
+        def score(batches):
+            bayes, got = Bayes(*model.value), np.zeros((len(TEMPERS), 3))
+            for batch in batches:
+                for k, x in labelled_texts(batch):
+                    for j, temper in enumerate(TEMPERS):
+                        p = bayes.posterior(x, temper)
+                        got[j] += 1, p.argmax() == k, -np.log(max(p[k], 1e-12))
+            yield pa.RecordBatch.from_arrays([pa.array(TEMPERS), *map(pa.array, got.T)], ["temper", "docs", "right", "loss"])
+
+        sums = picked.where("held").mapInArrow(score, "temper double, docs double, right double, loss double").groupBy("temper").agg(F.sum("docs").alias("docs"), F.sum("right").alias("right"), F.sum("loss").alias("loss"))
+        self.held_out = sorted(((r["temper"], int(r["docs"]), r["right"] / r["docs"], r["loss"] / r["docs"]) for r in sums.where("docs > 0").collect()), key=lambda r: r[0])
+        self.temper = min(self.held_out, key=lambda r: (r[3], r[0]))[0] if self.held_out else 0.0
 
 
 def labelled(docs: DataFrame, targets: Targets, scratch: Scratch, sample: int = SAMPLE, vocabulary: str = VOCABULARY, seed: int = 0) -> DataFrame:
-    """(id, tokens, label, posterior): label is a source's place, or _FREE with a posterior over all sources."""
+    """(id, tokens, label, parts), one row per distinct text: label is a source's place or _FREE; parts are those of membership()."""
     kind = docs.schema["id"].dataType.simpleString()
     place = {s: k for k, s in enumerate(targets.sources)}
-    n = len(targets.sources)
+    learnt = Classifier(docs, targets, scratch, sample, seed)
+    model, temper = learnt.model, learnt.temper
 
     def measure(batches):
+        bayes = Bayes(*model.value)
         for batch in batches:
-            src = [clean_source(s) for s in batch.column(1).to_pylist()]
+            src = [clean_source(s) for s in batch.column("source").to_pylist()]
             label = [place.get(s, None) if s else _FREE for s in src]
             keep = [k for k, x in enumerate(label) if x is not None]
             part = batch.take(pa.array(keep, pa.int64()))
-            texts = part.column(2).to_pylist()
-            lab = [label[k] for k in keep]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count(texts, vocabulary), pa.int64()), pa.array(lab, pa.int32())], ["id", "tokens", "label"])
-
-    sized = scratch.keep(docs.mapInArrow(measure, f"id {kind}, tokens long, label int").where("tokens > 0").groupBy("id").agg(F.max("tokens").alias("tokens"), F.max("label").alias("label")), "sized")
-    known = sized.where("label >= 0").count()
-    share = min(1.0, sample / max(known, 1))
-    picked = docs.where((F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) < int(share * (1 << 20))) & F.col("source").isNotNull())
-
-    def learn(batches):
-        counts, sizes = np.zeros((n, BUCKETS)), np.zeros(n)
-        for batch in batches:
-            for s, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                k = place.get(clean_source(s))
-                if k is not None and t:
-                    counts[k] += features(t)
-                    sizes[k] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k for k in range(n) if sizes[k]], pa.int32()), pa.array([float(x) for x in sizes if x], pa.float64()), pa.array([counts[k].tolist() for k in range(n) if sizes[k]], pa.list_(pa.float64()))], ["label", "docs", "counts"])
-
-    # One row per source and task, summed by source and feature before it reaches the driver: sources x BUCKETS numbers.
-    learnt = scratch.keep(picked.mapInArrow(learn, "label int, docs double, counts array<double>"), "learnt")
-    counts, sizes = np.zeros((n, BUCKETS)), np.zeros(n)
-    for r in learnt.groupBy("label").agg(F.sum("docs").alias("docs")).collect():
-        sizes[r["label"]] = r["docs"]
-    summed = learnt.select("label", F.posexplode("counts").alias("f", "c")).where("c > 0").groupBy("label", "f").agg(F.sum("c").alias("c"))
-    for r in summed.groupBy("label").agg(F.collect_list(F.struct("f", "c")).alias("row")).toLocalIterator():  # at most BUCKETS each
-        for f, c in r["row"]:
-            counts[r["label"], f] = c
-    model = docs.sparkSession.sparkContext.broadcast((counts, sizes))  # sources x BUCKETS numbers, whatever the input
-
-    def predict(batches):
-        bayes = None
-        for batch in batches:
-            free = [k for k, s in enumerate(batch.column(1).to_pylist()) if not clean_source(s) and batch.column(2)[k].as_py()]
-            if free:
-                bayes = bayes or Bayes(*model.value)
-                part = batch.take(pa.array(free, pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([bayes.posterior(features(t)).tolist() for t in part.column(2).to_pylist()], pa.list_(pa.float64()))], ["id", "posterior"])
+            texts, lab = part.column("text").to_pylist(), [label[k] for k in keep]
+            tokens = count(texts, vocabulary)
+            parts = [membership(bayes.posterior(features(t), temper), k) if n else None for t, k, n in zip(texts, lab, tokens)]
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t1"), part.column("t2"), pa.array(tokens, pa.int64()), pa.array(lab, pa.int32()), pa.array(parts, pa.list_(pa.int32()))], ["id", "t1", "t2", "tokens", "label", "parts"])
 
-    guessed = docs.mapInArrow(predict, f"id {kind}, posterior array<double>").groupBy("id").agg(F.first("posterior").alias("posterior"))
-    free = sized.where("label < 0").join(guessed, "id")
-    return scratch.keep(sized.where("label >= 0").withColumn("posterior", F.lit(None).cast("array<double>")).unionByName(free), "members")
+    hashed = docs.select("id", "source", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    sized = hashed.mapInArrow(measure, f"id {kind}, t1 long, t2 long, tokens long, label int, parts array<int>").where("tokens > 0")
+    row = F.struct((F.col("label") < 0).alias("free"), "id", "tokens", "label", "parts")
+    by_id = sized.withColumn("row", F.struct("t1", "t2", row.alias("row"))).groupBy("id").agg(F.min("row").alias("x")).select("x.*")
+    return scratch.keep(by_id.groupBy("t1", "t2").agg(F.min("row").alias("x")).select("x.id", "x.tokens", "x.label", "x.parts"), "members")
 
 
-def fit(members: DataFrame, targets: Targets) -> list[np.ndarray]:
-    """Steps of the projected gradient; each pass over the members returns one (mixes, sources) matrix per task."""
+def fit(members: DataFrame, targets: Targets, scratch: Scratch) -> list[np.ndarray]:
+    """Steps of the projected gradient, each a (mixes, sources) matrix. Documents of one source alone share one rate and are
+    summed up first, others by membership; a pass goes over these sums."""
     m, n = targets.want.shape
+    alone = np.zeros(n)
+    for r in members.where("parts is null").groupBy("label").agg(F.sum("tokens").alias("tokens")).collect():  # a row per source
+        alone[r["label"]] = r["tokens"]
+    classes = scratch.keep(members.where("parts is not null").groupBy("parts").agg(F.sum("tokens").alias("tokens")), "classes")
+    mixed = not classes.isEmpty()
 
     def totals(steps):
+        reached, there = (rates(np.eye(n), targets, steps) * alone[:, None]).T, alone.copy()
+
         def run(batches):
             reached, there = np.zeros((m, n)), np.zeros(n)
             for batch in batches:
-                t = batch.column("tokens").to_numpy().astype(float)
-                w = _members(batch, n)
+                t, w = batch.column("tokens").to_numpy().astype(float), _soft(batch.column("parts"))
                 reached += (rates(w, targets, steps) * t[:, None]).T @ w
                 there += t @ w
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(m + 1), n), pa.int32()), pa.array(np.tile(np.arange(n), m + 1), pa.int32()), pa.array(np.concatenate([reached.ravel(), there]))], ["mix", "source", "tokens"])
 
-        got = np.zeros((m + 1, n))
-        for r in members.select("tokens", "label", "posterior").mapInArrow(run, "mix int, source int, tokens double").groupBy("mix", "source").agg(F.sum("tokens").alias("tokens")).collect():
-            got[r["mix"], r["source"]] = r["tokens"]
-        return got[:m], got[m]
+        if mixed:
+            got = np.zeros((m + 1, n))
+            for r in classes.mapInArrow(run, "mix int, source int, tokens double").groupBy("mix", "source").agg(F.sum("tokens").alias("tokens")).collect():
+                got[r["mix"], r["source"]] = r["tokens"]
+            reached, there = reached + got[:m], there + got[m]
+        return reached, there
 
     steps: list[np.ndarray] = []
     last = None
+    small = CLOSE * np.maximum(targets.want, targets.want.sum(1, keepdims=True) / (10 * max(n, 1)))
     for _ in range(ITERATIONS):
         reached, there = totals(steps)
         miss = targets.want - reached
-        if last is not None and np.all(np.abs(reached - last) <= CLOSE * np.maximum(targets.want, 1)):
+        if last is not None and np.all(np.abs(reached - last) <= small):
             break
         last = reached
         # Scaled by each source's size, the step of a source with only its own documents is exact.
@@ -204,11 +247,15 @@ def mix(documents: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col
     if not targets.mixes:
         return spark.createDataFrame([], empty), targets
     members = labelled(docs, targets, scratch, vocabulary=vocabulary, seed=seed)
-    steps, n, mixes = fit(members, targets), len(targets.sources), targets.mixes
+    steps, n, mixes = fit(members, targets, scratch), len(targets.sources), targets.mixes
 
     def apply(batches):
+        alone = rates(np.eye(n), targets, steps)
         for batch in batches:
-            r = rates(_members(batch, n), targets, steps)
+            label, parts = batch.column("label").to_numpy(), batch.column("parts")
+            r, soft = alone[np.maximum(label, 0)], np.flatnonzero(parts.is_valid())
+            if len(soft):
+                r[soft] = rates(_soft(parts.take(pa.array(soft))), targets, steps)
             at, m = np.nonzero(r > 0)
             part = batch.take(pa.array(at))
             yield pa.RecordBatch.from_arrays([pa.array(m, pa.int32()), part.column("id"), part.column("label"), part.column("tokens"), pa.array(r[at, m])], ["mix", "id", "label", "tokens", "rate"])
@@ -238,6 +285,14 @@ def mix(documents: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col
     return drawn.join(F.broadcast(names), "mix").select("mix_id", "id", "label", "tokens", "repeats"), targets
 
 
+def classifier_report(documents: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
+    """(temper, documents, accuracy, log_loss, chosen) of the source classifier on held-out documents; temper 0 is the prior alone."""
+    spark = documents.sparkSession
+    docs = documents.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    made = Classifier(docs, Targets(table), Scratch(spark, "mixing"), SAMPLE, seed)
+    return spark.createDataFrame([(*r, r[0] == made.temper) for r in made.held_out], "temper double, documents long, accuracy double, log_loss double, chosen boolean")
+
+
 def mix_report(mixed: DataFrame, targets: Targets) -> DataFrame:
     """(mix_id, source, target_tokens, target_share, tokens, share, short, documents, max_repeats, used_repeats); documents without a source have a line of their own."""
     spark = mixed.sparkSession

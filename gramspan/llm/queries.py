@@ -170,6 +170,13 @@ def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(*mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets")))
 
 
+def p9_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the source classifier does on held-out documents."""
+    from .mixing import classifier_report
+
+    return classifier_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .residue import residue
 
