@@ -1,9 +1,10 @@
 """Problem 3: duplicates hidden by formatting differences.
 
 Method: each record's canonical hash (128 bits of its core) goes into partition-merged Bloom
-filters of once- and repeatedly-seen hashes; only records whose hash may repeat are shuffled, for
-exact grouping; all others leave as singletons without a shuffle. The filter has no false
-negatives and false alarms only cost a shuffled row, so the result is exact.
+filters of once- and repeatedly-seen hashes, one pair for each range of the hash, sized by its keys
+(module bloom); only records whose hash may repeat are shuffled, for exact grouping; all others leave
+as singletons, their rows never shuffled. The filter has no false negatives and false alarms only
+cost a shuffled row, so the result is exact; it prunes alike at every size.
 
 Defined cases: null, empty, blank or bare-punctuation text has an empty core and is a set of its
 own; rows with a null id are left out; repeated rows of an id count once (an id with differing
@@ -57,12 +58,13 @@ def hidden_duplicates(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def duplicate_sets(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(records whose hash may repeat, with their set's ``kept_id`` and ``copies``; ids of all other records)."""
     scratch = Scratch(df.sparkSession, "hidden_duplicates")
-    keys = scratch.keep(core_hashes(df, id_col, text_col), "keys")
-    n, full = keys.count(), keys.where(~F.col("blank")).select("id", "h1", "h2")
-    filt, bits = bloom.repeats_filter(full.select("h1", "h2"), n)
-    members = scratch.keep(bloom.maybe_in(full, "h1", "h2", filt, bits).distinct(), "members")
+    hashed = core_hashes(df, id_col, text_col)
+    keys = scratch.keep(hashed, "keys")
+    n = keys.count()
+    full = bloom.marked(scratch, "keys", keys, n).where("not blank")
+    members = scratch.keep(full.where("again").select("id", "h1", "h2").distinct(), "members")
     sets = scratch.keep(members.groupBy("h1", "h2").agg(F.min("id").alias("kept_id"), F.count(F.lit(1)).alias("copies")), "sets")
-    single = bloom.maybe_in(full, "h1", "h2", filt, bits, negate=True).select("id")
+    single = full.where("not again").select("id")
     blank = keys.where("blank").select("id").distinct()
     return _with_sets(members, sets, max(LEAST_HOT, n // MOST_HOT)), single.unionByName(blank)
 

@@ -526,13 +526,12 @@ class History:
         made = keep(rows.mapInArrow(trimmed(_prepare), f"id {kind}, ord int, h1 long, h2 long, core binary"), f"rows{w}")
         known = made.select("id", "h1", "h2", "ord")
         n = made.count()
-        filt, bits = bloom.repeats_filter(made.select("h1", "h2"), n)
-        again = bloom.maybe_in(made, "h1", "h2", filt, bits)
+        flagged = bloom.marked(self.scratch, f"rows{w}", made, n)
+        again, single = flagged.where("again"), flagged.where("not again").select("h1", "h2", "ord", "core")
         firsts = again.groupBy("h1", "h2").agg(F.min(F.struct("ord", "core")).alias("x")).select("h1", "h2", "x.ord", "x.core")
-        single = bloom.maybe_in(made, "h1", "h2", filt, bits, negate=True).select("h1", "h2", "ord", "core")
         reps = self._table(single.unionByName(firsts).mapInArrow(_numbered(w), "no long, h1 long, h2 long, ord int, core binary"), f"cores/w{w}", PAGE, compression="zstd")
         # Equal cores in this batch; those in history meet in every tree.
-        several = keep(bloom.maybe_in(known, "h1", "h2", filt, bits), f"again{w}")
+        several = keep(again.select("id", "h1", "h2", "ord"), f"again{w}")
         hot = keep(hot_keys(several, ["h1", "h2"], n), f"hot{w}")
         start = several.groupBy("h1", "h2").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("last > first").drop("last")
         exact = sliced_join(several, start, ["h1", "h2"], hot, "id").where("ord > first").select("id")
@@ -550,7 +549,7 @@ class History:
             more = keep(self._widen(asked).distinct(), f"more{w}")
             near = near.unionByName(self._verified(more, f"more_near{w}").select("h1", "h2"))
         found = keep(exact.unionByName(sliced_join(known, near, ["h1", "h2"], hot, "id", "left_semi").select("id")).distinct(), f"found{w}")
-        self.scratch.drop(*(f"{t}{w}" for t in ("rows", "again", "hot", "pairs", "near", "open", "asked", "more", "more_near")))
+        self.scratch.drop(*(f"{t}{w}" for t in ("rows", "again", "hot", "pairs", "near", "open", "asked", "more", "more_near")), f"rows{w}_said"))
         self._save()
         if len(self.runs) > RUNS:
             self.merge_runs()

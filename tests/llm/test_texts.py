@@ -18,6 +18,7 @@ from gramspan.llm.overlap import overlap_pairs, overlap_report, overlaps
 from gramspan.llm.terms import term_counts
 from gramspan.llm.textform import core, likeness, look, pieces
 from gramspan.llm.unify import lookalike_pairs, unify
+from gramspan.session import Scratch
 
 ODD = "aẹ́́̈가간가ㄴᆫᆨ　  ​‍﻿Ａ１ﬁ①аοΝі\t\n ;|:😀ẍ́ﾊﾞ"
 EMPTY = [None, "", "   ", "...", "​"]
@@ -56,17 +57,19 @@ def test_lookalike_pairs(spark):
     assert lookalike_pairs(df.where("false"), "id", "text").count() == 0
 
 
-def test_bloom_forgets_no_repeat(spark):
+def test_bloom_forgets_no_repeat(spark, monkeypatch):
     rng = random.Random(1)
     keys = [rng.randrange(-(2**63), 2**63) for _ in range(3000)]
     rows = [(k, k // 3) for k in keys + keys[:700]]
     rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "h1 long, h2 long").repartition(7)
-    filt, bits = bloom.repeats_filter(df, 3700)
-    kept = Counter(r.h1 for r in bloom.maybe_in(df, "h1", "h2", filt, bits).collect())
-    assert all(kept[k] == 2 for k in keys[:700]) and len(kept) < 1000
-    out = bloom.maybe_in(df, "h1", "h2", filt, bits, negate=True).count()
-    assert out + sum(kept.values()) == 3700
+    scratch = Scratch(spark, "bloom")
+    for parts, span in ((7, 1 << 20), (5, 100), (1, 1 << 20)):  # one range, and many
+        monkeypatch.setattr(bloom, "RANGE", span)
+        kept = scratch.keep(spark.createDataFrame(rows, "h1 long, h2 long").repartition(parts), f"t{parts}")
+        got = Counter((r.h1, r.again) for r in bloom.marked(scratch, f"t{parts}", kept, len(rows)).collect())
+        assert sum(got.values()) == len(rows) and all(got[k, True] == 2 for k in keys[:700])
+        assert sum(n for (k, again), n in got.items() if again) < 1500
+    assert bloom.marked(scratch, "none", scratch.keep(kept.where("false"), "none"), 0).count() == 0
 
 
 def test_hidden_duplicates(spark, monkeypatch):
