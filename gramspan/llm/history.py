@@ -549,7 +549,7 @@ class History:
             more = keep(self._widen(asked).distinct(), f"more{w}")
             near = near.unionByName(self._verified(more, f"more_near{w}").select("h1", "h2"))
         found = keep(exact.unionByName(sliced_join(known, near, ["h1", "h2"], hot, "id", "left_semi").select("id")).distinct(), f"found{w}")
-        self.scratch.drop(*(f"{t}{w}" for t in ("rows", "again", "hot", "pairs", "near", "open", "asked", "more", "more_near")), f"rows{w}_said"))
+        self.scratch.drop(*(f"{t}{w}" for t in ("rows", "again", "hot", "pairs", "near", "open", "asked", "more", "more_near")), f"rows{w}_said")
         self._save()
         if len(self.runs) > RUNS:
             self.merge_runs()

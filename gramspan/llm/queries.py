@@ -57,6 +57,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(_texts_and_gold(spark, sf_dir), "key", "text")
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record that looks like another one, with the class of its look and the number of records it looks like."""
+    from .unify import lookalike_classes
+
+    return lookalike_classes(_texts_and_gold(spark, sf_dir), "key", "text").withColumnRenamed("id", "key")
+
+
 def p4_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of both tables in its one consistent form."""
     from .unify import unify
@@ -71,6 +78,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("id_a").alias("example_id_a"), F.col("id_b").alias("example_id_b"))
 
 
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every gold record with a partner across the splits, with its class and number of partners."""
+    from .overlap import overlap_classes, overlaps
+
+    return overlap_classes(*overlaps(_table(spark, sf_dir, "df003_gold_50"))).withColumnRenamed("id", "example_id")
+
+
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confirmed overlaps per evaluation split and source."""
     from .overlap import overlap_report, overlaps

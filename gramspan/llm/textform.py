@@ -19,6 +19,7 @@ LOOKALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w",
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ԛ": "Q", "Ԝ": "W",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ϲ": "c", "ϳ": "j",
+    "α": "a", "ι": "i", "κ": "k", "ρ": "p", "υ": "u", "ү": "y", "Ү": "Y", "ӏ": "l", "Ӏ": "I", "ѵ": "v", "Ѵ": "V",
 }
 
 #: What NFKC and the other rules leave as it is: ASCII and composed Hangul. JVM and Python alike.
@@ -44,10 +45,7 @@ def look(text: str) -> str:
     """One consistent form of ``text``; a text that is in it already comes back as it is."""
     if _stable(text):
         return text
-    for _ in range(4):  # to the fixed point: taking a character away can bring a mark to its base
-        made = unicodedata.normalize("NFKC", text).translate(_table())
-        if made == text:
-            break
+    while (made := unicodedata.normalize("NFKC", text).translate(_table())) != text:  # taking a character away can bring a mark to its base
         text = made
     return text
 

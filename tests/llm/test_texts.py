@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from gramspan.llm import bloom, history
 from gramspan.llm.dedupe_exact import duplicate_sets, hidden_duplicates
 from gramspan.llm.minhash import signatures, trees_needed
-from gramspan.llm.overlap import overlap_pairs, overlap_report, overlaps
+from gramspan.llm.overlap import overlap_classes, overlap_pairs, overlap_report, overlaps
 from gramspan.llm.terms import term_counts
 from gramspan.llm.textform import core, likeness, look, pieces
-from gramspan.llm.unify import lookalike_pairs, unify
+from gramspan.llm.unify import lookalike_classes, lookalike_pairs, unify
 from gramspan.session import Scratch
 
-ODD = "aẹ́́̈가간가ㄴᆫᆨ　  ​‍﻿Ａ１ﬁ①аοΝі\t\n ;|:😀ẍ́ﾊﾞ"
+ODD = "aẹ́́̈가간가ㄴᆫᆨ　  ​‍﻿Ａ１ﬁ①аοΝі\t\n ;|:😀ẍ́ﾊﾞΆӏἀ"
 EMPTY = [None, "", "   ", "...", "​"]
 
 
@@ -55,6 +55,9 @@ def test_lookalike_pairs(spark):
     got = sorted(map(tuple, lookalike_pairs(df, "id", "text").collect()))
     assert got == [("a", "b"), ("a", "c"), ("b", "c"), ("b", "d"), ("c", "d")]
     assert lookalike_pairs(df.where("false"), "id", "text").count() == 0
+    links = Counter(k for pair in got for k in pair)
+    assert {r.id: (r.class_id, r.links) for r in lookalike_classes(df, "id", "text").collect()} == {k: ("a", n) for k, n in links.items()}
+    assert lookalike_classes(df.where("false"), "id", "text").count() == 0
 
 
 def test_bloom_forgets_no_repeat(spark, monkeypatch):
@@ -185,7 +188,9 @@ def test_overlap(spark):
     got = {tuple(r) for r in overlap_pairs(members, pairs).collect()}
     assert got <= want and len(want - got) <= 0.02 * len(want)
     assert sum(r.pairs for r in overlap_report(members, pairs).collect()) == len(got)
-    assert overlap_pairs(*overlaps(df.where("false"))).count() == 0
+    links = Counter(k for pair in got for k in pair)
+    assert {r.id: r.links for r in overlap_classes(members, pairs).collect()} == links
+    assert overlap_pairs(*overlaps(df.where("false"))).count() == overlap_classes(*overlaps(df.where("false"))).count() == 0
 
 
 def test_recall_of_trees():
