@@ -10,8 +10,16 @@ from pyspark.sql import functions as F
 from ..functions.textfn import blank_to_null, trim_ws
 
 #: Aliases of labels and span statuses.
-LABELS = {"tp": "tp", "t": "tp", "true_positive": "tp", "fp": "fp", "f": "fp", "false_positive": "fp", "unclear": "unclear", "u": "unclear", "?": "unclear", "unknown": "unclear"}
-STATUSES = {"ok": "ok", "span_ok": "ok", "span_wrong": "span_wrong", "wrong": "span_wrong", "needs_fix": "span_wrong", "not_applicable": "not_applicable", "na": "not_applicable", "n/a": "not_applicable"}
+LABELS = {
+    "tp": "tp", "t": "tp", "true_positive": "tp", "true positive": "tp", "positive": "tp", "pos": "tp",
+    "fp": "fp", "f": "fp", "false_positive": "fp", "false positive": "fp", "negative": "fp", "neg": "fp",
+    "unclear": "unclear", "unsure": "unclear", "unknown": "unclear", "?": "unclear",
+}
+STATUSES = {
+    "ok": "ok", "o": "ok",
+    "span_wrong": "span_wrong", "span wrong": "span_wrong", "wrong": "span_wrong",
+    "not_applicable": "not_applicable", "not applicable": "not_applicable", "na": "not_applicable", "n/a": "not_applicable", "none": "not_applicable",
+}
 BATCH = r"(?i)batch[_-]([0-9]{3,})"
 
 
@@ -76,37 +84,68 @@ def repeated_hits(rows: DataFrame) -> DataFrame:
     return rows.groupBy("hit_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def item_mismatches(rows: DataFrame, item_id: str) -> DataFrame:
+    """(hit_id, problem): rows of another item (``item_mismatch``), and rows that name none (``item_reference_missing``).
+
+    A row with an origin belongs to the item of its origin or unit, one without to its unit's.
+    """
+    origin, unit = blank_to_null("origin_e_id"), blank_to_null("unit_id")
+    other = F.coalesce(unit != item_id, F.lit(True)) & F.coalesce(origin != item_id, F.lit(True))
+    problem = F.when(origin.isNull() & unit.isNull(), "item_reference_missing").when(other, "item_mismatch")
+    return rows.select("hit_id", problem.alias("problem")).where("problem is not null")
+
+
 @dataclass(frozen=True)
 class Goals:
     target_pos: int = 100
     target_neg: int = 100
-    max_batches: int = 5
-    min_tp: int = 0
-    fp_tp_ratio: float = 3.0
+    max_batches: int = 3
+    min_tp: int = 30
+    fp_tp_ratio: float = 2.0
 
 
 def summary(rows: DataFrame, goals: Goals = Goals()) -> DataFrame:
-    """One row: label counts, batches, targets reached, and what to do next.
+    """The summary of all rows, in one row."""
+    return summary_by(rows, [], goals)
 
-    Order of the decision: clean up, targets reached, too few positives, batches used up, go on.
+
+def summary_by(rows: DataFrame, by: list[str], goals: Goals = Goals()) -> DataFrame:
+    """A row per value of ``by``: label and status counts, batches, targets reached, flags of what is to be cleaned up, what to do next, and
+    whether the rules need work.
+
+    Order of the decision: clean up, targets reached, too few positives, batches used up, go on. Order of the other:
+    clean up, batches used up, no labels, no positives, ratio.
     """
     r = labelled(rows)
     n = lambda x: F.count_if(F.col("label") == x).alias(x)
-    bad = (F.col("label").isin("blank", "invalid")) | (F.col("status") == "invalid") | ((F.col("label") == "tp") & (F.col("status") == "blank"))
-    got = r.agg(n("tp"), n("fp"), n("unclear"), n("blank"), n("invalid"), F.count_if(bad).alias("to_clean"), F.count_distinct(batch_token(F.col("batch_id"), F.col("hit_id"))).alias("batches"))
-    reached = (F.col("tp") >= goals.target_pos) & (F.col("fp") >= goals.target_neg)
-    low = F.lit(goals.min_tp > 0) & (F.col("tp") < goals.min_tp) & (F.col("tp") < goals.target_pos)
-    action = F.when(F.col("to_clean") > 0, "cleanup_labels").when(reached, "ready_to_export").when(low, "switch_to_targeted_search").when(F.col("batches") >= goals.max_batches, "max_batches_reached").otherwise("continue_batches")
-    ratio = F.when(F.col("tp") > 0, F.col("fp") / F.col("tp"))
-    refine = F.when(F.col("to_clean") > 0, "cleanup_first").when((F.col("tp") == 0) & (F.col("fp") == 0), "no_labels").when(F.col("tp") == 0, "no_true_positive").when(ratio > goals.fp_tp_ratio, "ratio_over_threshold").otherwise("fine")
-    return got.select("*", reached.alias("targets_reached"), ratio.alias("fp_tp_ratio"), action.alias("next_action"), refine.alias("refinement"))
-
-
-EXPORTABLE = ("ready_to_export", "continue_batches", "max_batches_reached")
+    no_status = (F.col("label") == "tp") & (F.col("status") == "blank")
+    bad = F.col("label").isin("blank", "invalid") | (F.col("status") == "invalid") | no_status
+    statuses = [F.count_if(F.col("status") == x).alias(f"status_{x}") for x in ("ok", "span_wrong", "not_applicable", "blank", "invalid")]
+    got = r.groupBy(*by).agg(n("tp"), n("fp"), n("unclear"), n("blank"), n("invalid"), *statuses, F.count_if(no_status).alias("tp_without_status"), F.count_if(bad).alias("to_clean"), F.count_distinct(batch_token(F.col("batch_id"), F.col("hit_id"))).alias("batches"))
+    flags = F.array(F.when((F.col("blank") > 0) | (F.col("invalid") > 0), "human_label_blank_or_invalid"), F.when(F.col("status_invalid") > 0, "span_status_invalid"), F.when(F.col("tp_without_status") > 0, "tp_span_status_blank"))
+    tp, fp, clean = F.col("tp"), F.col("fp"), F.col("to_clean") > 0
+    reached = (tp >= goals.target_pos) & (fp >= goals.target_neg)
+    low = F.lit(goals.min_tp > 0) & (tp < goals.min_tp) & (tp < goals.target_pos)
+    used_up = F.col("batches") >= goals.max_batches
+    stop = F.when(clean, "needs_label_cleanup").when(reached, "target_reached").when(low, "low_tp_for_batch_mode").when(used_up, "max_batches_reached").otherwise("continue_batch_search")
+    action = F.when(F.col("stop_reason") == "target_reached", "ready_for_encoder_export").when(F.col("stop_reason") == "low_tp_for_batch_mode", "switch_to_full_corpus_search").otherwise(F.col("stop_reason"))
+    ratio = F.when(tp > 0, fp / F.when(tp > 0, tp))
+    refine = (
+        F.when(clean, "needs_label_cleanup").when(used_up, "processed_batches_limit_reached").when((tp == 0) & (fp == 0), "fp_tp_ratio_unavailable")
+        .when(tp == 0, "fp_tp_ratio_infinite").when(ratio > goals.fp_tp_ratio, "fp_tp_ratio_above_threshold").otherwise("fp_tp_ratio_within_threshold")
+    )
+    made = got.select("*", F.filter(flags, lambda x: x.isNotNull()).alias("cleanup_flags"), reached.alias("targets_reached"), ratio.alias("fp_tp_ratio"), stop.alias("stop_reason"), refine.alias("refinement"))
+    return made.select("*", action.alias("next_action"), F.col("refinement").isin("fp_tp_ratio_infinite", "fp_tp_ratio_above_threshold").alias("should_consider_rule_update"))
+
+
+#: After these the labels may be exported.
+EXPORTABLE = ("ready_for_encoder_export", "continue_batch_search", "max_batches_reached")
 
 
 def gate(next_action: str, allow_cleanup: bool = False) -> tuple[bool, str]:
     """(may export, why not)."""
-    if next_action in EXPORTABLE or allow_cleanup and next_action == "cleanup_labels":
+    if next_action == "switch_to_full_corpus_search":
+        return False, f"blocked: {next_action}"
+    if next_action in EXPORTABLE or allow_cleanup:
         return True, ""
     return False, f"blocked: {next_action}"

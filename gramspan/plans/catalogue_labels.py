@@ -26,21 +26,22 @@ def query(sql: str | None = None):  # noqa: ANN201
     return add
 
 
-def rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Review rows, repeated ones once."""
-    return table(spark, sf_dir, "search_corpus").distinct()
+_MARKS = ("human_label", "span_status")
+_PAIR = ("text_id", "raw_text", "unit_id", "human_label", "span_status", "span_segments", "detect_rule_ids", "memo", "reviewer", "candidate_index", "corpus_domain")
 
 
-R = "r AS (SELECT DISTINCT * FROM search_corpus)"
-_key = lambda c: f"lower({sql_trim(f'coalesce({c}, {chr(39)}{chr(39)})')})"
-
+def rows_of(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Hits with the given columns of their review row. Rows repeat as a whole, so only what is asked for is compared and shuffled."""
+    return table(spark, sf_dir, "search_corpus").select("hit_id", *[c for c in columns if c != "hit_id"]).distinct()
 
-def _case(c: str, aliases: dict[str, str]) -> str:
-    whens = " ".join(f"WHEN {_key(c)} IN ({', '.join(repr(k) for k, v in aliases.items() if v == name)}) THEN '{name}'" for name in dict.fromkeys(aliases.values()))
-    return f"CASE WHEN {_key(c)} = '' THEN 'blank' {whens} ELSE 'invalid' END"
 
-
-LABEL, STATUS = _case("human_label", labels.LABELS), _case("span_status", labels.STATUSES)
+R = "r AS (SELECT DISTINCT * FROM search_corpus)"
+_key = lambda c: f"lower({sql_trim(f'coalesce({c}, {chr(39)}{chr(39)})')})"
+# Written out by hand, not made from the library's maps: this is what they are checked against.
+LABEL = f"""CASE WHEN {_key("human_label")} = '' THEN 'blank' WHEN {_key("human_label")} IN ('tp', 't', 'true_positive', 'true positive', 'positive', 'pos') THEN 'tp'
+ WHEN {_key("human_label")} IN ('fp', 'f', 'false_positive', 'false positive', 'negative', 'neg') THEN 'fp' WHEN {_key("human_label")} IN ('unclear', 'unsure', 'unknown', '?') THEN 'unclear' ELSE 'invalid' END"""
+STATUS = f"""CASE WHEN {_key("span_status")} = '' THEN 'blank' WHEN {_key("span_status")} IN ('ok', 'o') THEN 'ok' WHEN {_key("span_status")} IN ('span_wrong', 'span wrong', 'wrong') THEN 'span_wrong'
+ WHEN {_key("span_status")} IN ('not_applicable', 'not applicable', 'na', 'n/a', 'none') THEN 'not_applicable' ELSE 'invalid' END"""
 J = f"{R}, j AS (SELECT *, {LABEL} AS label, {STATUS} AS status, TRY_CAST(span_segments AS BIGINT[][]) AS segs FROM r)"
 _orunk = lambda c: f"coalesce(nullif({sql_trim(c)}, ''), 'unknown')"
 
@@ -50,7 +51,7 @@ _orunk = lambda c: f"coalesce(nullif({sql_trim(c)}, ''), 'unknown')"  # noqa: E7
 
 @query(f"WITH {R}, c AS (SELECT hit_id, raw_text, TRY_CAST(span_segments AS BIGINT[][])[1] AS p FROM r WHERE hit_id IS NOT NULL AND raw_text IS NOT NULL) SELECT hit_id, coalesce(substring(raw_text, greatest(0, p[1] - 6)::INT + 1, (p[1] - greatest(0, p[1] - 6))::INT), '') AS before, coalesce(substring(raw_text, p[2]::INT + 1, 6), '') AS after, coalesce(substring(raw_text, greatest(0, p[1] - 8)::INT + 1, (p[2] + 8 - greatest(0, p[1] - 8))::INT), '') AS \"window\", coalesce(substring(raw_text, p[2]::INT + 1, 1), '') AS next_char FROM c")
 def span_context(spark, sf_dir):
-    rows = rows_of(spark, sf_dir).where("hit_id is not null and raw_text is not null").withColumn("c", review.span_context(F.col("raw_text"), parse_spans(F.col("span_segments"))))
+    rows = rows_of(spark, sf_dir, "raw_text", "span_segments").where("hit_id is not null and raw_text is not null").withColumn("c", review.span_context(F.col("raw_text"), parse_spans(F.col("span_segments"))))
     return rows.select("hit_id", *[F.coalesce(f"c.{n}", F.lit("")).alias(n) for n in ("before", "after", "window", "next_char")])
 
 
@@ -61,13 +62,13 @@ _TOK = f"{_AT}, {sql_spans("t", "mt", f'[^{_SQLWS}]+', 'hit_id, pos')}"
 
 @query(f"WITH {_TOK}, o AS (SELECT hit_id, raw_text, pos, min(k) AS a, max(k) AS b FROM t WHERE s < pos[2] AND e > pos[1] GROUP BY 1, 2, 3), w AS (SELECT t.hit_id, t.raw_text, t.pos, string_agg(match_text, ' ' ORDER BY k) AS v FROM t JOIN o ON t.hit_id = o.hit_id AND t.raw_text = o.raw_text AND t.pos = o.pos AND k BETWEEN a - 5 AND b + 5 GROUP BY 1, 2, 3) SELECT mt.hit_id, coalesce(v, '') AS kwic FROM mt LEFT JOIN w ON mt.hit_id = w.hit_id AND mt.raw_text = w.raw_text AND mt.pos = w.pos")
 def kwic_context(spark, sf_dir):
-    rows = rows_of(spark, sf_dir).where("hit_id is not null and raw_text is not null").withColumn("at", review.match_pair(F.col("raw_text"), F.col("regex_match_span"), F.coalesce("regex_match_text", F.lit(""))))
+    rows = rows_of(spark, sf_dir, "raw_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null").withColumn("at", review.match_pair(F.col("raw_text"), F.col("regex_match_span"), F.coalesce("regex_match_text", F.lit(""))))
     return rows.select("hit_id", review.kwic(F.col("raw_text"), F.col("at")).alias("kwic"))
 
 
 @query(f"WITH {_TOK}, l AS (SELECT hit_id, raw_text, pos, max_by(substring(raw_text, s::INT + 1, (least(e, pos[1]) - s)::INT), k) AS v FROM t WHERE s < pos[1] GROUP BY 1, 2, 3), q AS (SELECT *, row_number() OVER (PARTITION BY hit_id, raw_text, pos ORDER BY k) AS n FROM t WHERE e > pos[2]), r1 AS (SELECT hit_id, raw_text, pos, substring(raw_text, greatest(s, pos[2])::INT + 1, (e - greatest(s, pos[2]))::INT) AS v FROM q WHERE n = 1) SELECT mt.hit_id, coalesce(l.v, '') AS left_token, coalesce(r1.v, '') AS right_token FROM mt LEFT JOIN l USING (hit_id, raw_text, pos) LEFT JOIN r1 USING (hit_id, raw_text, pos)")
 def adjacent_tokens(spark, sf_dir):
-    rows = rows_of(spark, sf_dir).where("hit_id is not null and raw_text is not null").withColumn("at", review.match_pair(F.col("raw_text"), F.col("regex_match_span"), F.coalesce("regex_match_text", F.lit("")))).withColumn("t", review.adjacent_tokens(F.col("raw_text"), F.col("at")))
+    rows = rows_of(spark, sf_dir, "raw_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null").withColumn("at", review.match_pair(F.col("raw_text"), F.col("regex_match_span"), F.coalesce("regex_match_text", F.lit("")))).withColumn("t", review.adjacent_tokens(F.col("raw_text"), F.col("at")))
     return rows.select("hit_id", F.col("t.left").alias("left_token"), F.col("t.right_1").alias("right_token"))
 
 
@@ -76,7 +77,7 @@ PROFILE = review.Profile([("after", "^[다었]", "tp", "ok", "plain_ending"), ("
 
 
 def _passed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.first_pass(rows_of(spark, sf_dir).where("hit_id is not null and raw_text is not null"), PROFILE, CAUTIONS)
+    return review.first_pass(rows_of(spark, sf_dir, "raw_text", "span_segments", "span_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null"), PROFILE, CAUTIONS)
 
 
 _FP = f"""{R}, c0 AS (SELECT *, TRY_CAST(span_segments AS BIGINT[][])[1] AS p FROM r WHERE hit_id IS NOT NULL AND raw_text IS NOT NULL),
@@ -91,7 +92,7 @@ def caution_first_match(spark, sf_dir):
 
 @query(f"WITH {_FP} SELECT hit_id, CASE WHEN regexp_matches(aft, '^[다었]') THEN 'plain_ending' WHEN regexp_matches(win, '[?!]') THEN 'marked' ELSE 'no_rule' END AS reason FROM f")
 def profile_decision_list(spark, sf_dir):
-    return review.first_pass(rows_of(spark, sf_dir).where("hit_id is not null and raw_text is not null"), PROFILE).select("hit_id", F.col("first_pass_reason").alias("reason"))
+    return review.first_pass(rows_of(spark, sf_dir, "raw_text", "span_segments", "span_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null"), PROFILE).select("hit_id", F.col("first_pass_reason").alias("reason"))
 
 
 @query(f"WITH {_FP}, n AS (SELECT reason, hit_id, count(*) OVER (PARTITION BY reason) AS n, row_number() OVER (PARTITION BY reason ORDER BY hit_id) AS rank FROM f) SELECT reason, n, rank, hit_id FROM n WHERE rank <= 5")
@@ -106,7 +107,7 @@ def review_key_violations(spark, sf_dir):
 
 @query(f"WITH {R} SELECT x.c AS \"column\", coalesce(x.v, '') AS value, count(*) AS n FROM (SELECT unnest(['span_source', 'component_span_status']) AS c, unnest([span_source, component_span_status]) AS v FROM r) x GROUP BY 1, 2")
 def review_value_counts(spark, sf_dir):
-    return review.value_counts(rows_of(spark, sf_dir), ["span_source", "component_span_status"])
+    return review.value_counts(rows_of(spark, sf_dir, "span_source", "component_span_status"), ["span_source", "component_span_status"])
 
 
 # ---- labels ---------------------------------------------------------------------------------------------------
@@ -135,32 +136,48 @@ _EACH = ", ".join(f"count(*) FILTER (WHERE label = '{x}') AS {x}" for x in ("tp"
 
 @query(f"WITH {J} SELECT {_orunk('unit_id')} AS unit_id, {_EACH}, count(*) AS total FROM j GROUP BY 1")
 def review_label_pivot(spark, sf_dir):
-    return labels.label_pivot(rows_of(spark, sf_dir), "unit_id")
+    return labels.label_pivot(rows_of(spark, sf_dir, "unit_id", *_MARKS), "unit_id")
 
 
 @query(f"WITH {J}, v AS (SELECT label, {_orunk('corpus_domain')} AS d, {_orunk('span_source')} AS s FROM j) SELECT CASE WHEN grouping(d) = 0 THEN 'corpus_domain' WHEN grouping(s) = 0 THEN 'span_source' ELSE 'total' END AS dimension, CASE WHEN grouping(d) = 0 THEN d WHEN grouping(s) = 0 THEN s ELSE '' END AS value, label, count(*) AS n FROM v GROUP BY GROUPING SETS ((label), (label, d), (label, s))")
 def review_label_cube(spark, sf_dir):
-    return labels.label_cube(rows_of(spark, sf_dir), ["corpus_domain", "span_source"])
+    return labels.label_cube(rows_of(spark, sf_dir, "corpus_domain", "span_source", *_MARKS), ["corpus_domain", "span_source"])
 
 
 @query(f"WITH {J} SELECT hit_id, unnest(list_filter([CASE WHEN label IN ('blank', 'invalid') THEN 'label_' || label END, CASE WHEN status = 'invalid' THEN 'status_invalid' END, CASE WHEN label = 'tp' AND status = 'blank' THEN 'tp_without_status' END], lambda x: x IS NOT NULL)) AS problem FROM j")
 def review_invalid_rows(spark, sf_dir):
-    return labels.invalid_rows(rows_of(spark, sf_dir))
+    return labels.invalid_rows(rows_of(spark, sf_dir, *_MARKS))
 
 
 _SUM = f"{J}, b AS (SELECT *, {_BATCH} AS batch FROM j), g AS (SELECT unit_id, {_EACH}, count(*) FILTER (WHERE label IN ('blank', 'invalid') OR status = 'invalid' OR label = 'tp' AND status = 'blank') AS to_clean, count(DISTINCT batch) AS batches FROM b GROUP BY 1)"
 
 
-@query(f"WITH {_SUM}, t AS (SELECT sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(unclear)::BIGINT AS unclear, sum(to_clean)::BIGINT AS to_clean FROM g), n AS (SELECT count(DISTINCT batch) AS batches FROM b) SELECT tp, fp, unclear, to_clean, batches, CASE WHEN to_clean > 0 THEN 'cleanup_labels' WHEN tp >= 100 AND fp >= 100 THEN 'ready_to_export' WHEN batches >= 5 THEN 'max_batches_reached' ELSE 'continue_batches' END AS next_action FROM t, n")
+_GOAL = "SELECT sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(unclear)::BIGINT AS unclear, sum(blank)::BIGINT AS blank, sum(invalid)::BIGINT AS invalid, sum(to_clean)::BIGINT AS to_clean FROM g"
+
+
+@query(f"WITH {_SUM}, t AS ({_GOAL}), n AS (SELECT count(DISTINCT batch) AS batches FROM b), f AS (SELECT count(*) FILTER (WHERE label IN ('blank', 'invalid')) AS f1, count(*) FILTER (WHERE status = 'invalid') AS f2, count(*) FILTER (WHERE label = 'tp' AND status = 'blank') AS f3 FROM b) SELECT tp, fp, unclear, blank, invalid, to_clean, batches, concat_ws(',', CASE WHEN f1 > 0 THEN 'human_label_blank_or_invalid' END, CASE WHEN f2 > 0 THEN 'span_status_invalid' END, CASE WHEN f3 > 0 THEN 'tp_span_status_blank' END) AS cleanup_flags, CASE WHEN to_clean > 0 THEN 'needs_label_cleanup' WHEN tp >= 100 AND fp >= 100 THEN 'ready_for_encoder_export' WHEN tp < 30 THEN 'switch_to_full_corpus_search' WHEN batches >= 3 THEN 'max_batches_reached' ELSE 'continue_batch_search' END AS next_action FROM t, n, f")
 def review_next_action(spark, sf_dir):
-    return labels.summary(rows_of(spark, sf_dir)).select("tp", "fp", "unclear", "to_clean", "batches", "next_action")
+    got = labels.summary(rows_of(spark, sf_dir, "batch_id", *_MARKS))
+    return got.select("tp", "fp", "unclear", "blank", "invalid", "to_clean", "batches", F.array_join("cleanup_flags", ",").alias("cleanup_flags"), "next_action")
+
 
+# Each unit's labels on their own, cleaned up: here the decisions differ.
+_UNIT = f"{J}, b AS (SELECT *, {_BATCH} AS batch FROM j WHERE label IN ('tp', 'fp', 'unclear') AND status <> 'invalid' AND NOT (label = 'tp' AND status = 'blank')), u AS (SELECT unit_id, count(*) FILTER (WHERE label = 'tp') AS tp, count(*) FILTER (WHERE label = 'fp') AS fp, count(DISTINCT batch) AS batches FROM b WHERE unit_id IS NOT NULL GROUP BY 1)"
 
-@query(f"WITH {J}, k AS (SELECT * FROM j WHERE label IN ('tp', 'fp') AND NOT (status = 'invalid' OR label = 'tp' AND status = 'blank')), n AS (SELECT count(*) FILTER (WHERE label = 'tp') AS tp, count(*) FILTER (WHERE label = 'fp') AS fp FROM k) SELECT round(fp / tp, 6) AS ratio, CASE WHEN tp = 0 AND fp = 0 THEN 'no_labels' WHEN tp = 0 THEN 'no_true_positive' WHEN fp / tp > 0.4 THEN 'ratio_over_threshold' ELSE 'fine' END AS refinement FROM n")
+
+@query(f"WITH {_UNIT} SELECT unit_id, CASE WHEN tp >= 20 AND fp >= 20 THEN 'target_reached' WHEN tp < 4 THEN 'low_tp_for_batch_mode' WHEN batches >= 9 THEN 'max_batches_reached' ELSE 'continue_batch_search' END AS stop_reason, round(CASE WHEN tp > 0 THEN fp / tp END, 6) AS ratio, CASE WHEN batches >= 9 THEN 'processed_batches_limit_reached' WHEN tp = 0 AND fp = 0 THEN 'fp_tp_ratio_unavailable' WHEN tp = 0 THEN 'fp_tp_ratio_infinite' WHEN fp / tp > 2 THEN 'fp_tp_ratio_above_threshold' ELSE 'fp_tp_ratio_within_threshold' END AS refinement, batches < 9 AND fp > 0 AND (tp = 0 OR fp / tp > 2) AS should_consider_rule_update FROM u")
 def rule_refinement(spark, sf_dir):
-    r = labels.labelled(rows_of(spark, sf_dir))
-    clean = r.where(F.col("label").isin("tp", "fp") & (F.col("status") != "invalid") & ~((F.col("label") == "tp") & (F.col("status") == "blank")))
-    return labels.summary(clean.drop("label", "status"), labels.Goals(fp_tp_ratio=0.4)).select(F.round("fp_tp_ratio", 6).alias("ratio"), F.col("refinement"))
+    r = labels.labelled(rows_of(spark, sf_dir, "batch_id", "unit_id", *_MARKS).where("unit_id is not null"))
+    clean = r.where(F.col("label").isin("tp", "fp", "unclear") & (F.col("status") != "invalid") & ~((F.col("label") == "tp") & (F.col("status") == "blank"))).drop("label", "status")
+    goals = labels.Goals(target_pos=20, target_neg=20, min_tp=4, max_batches=9)
+    got = labels.summary_by(clean, ["unit_id"], goals)
+    return got.select("unit_id", "stop_reason", F.round("fp_tp_ratio", 6).alias("ratio"), "refinement", "should_consider_rule_update")
+
+
+@query(f"WITH {R} SELECT hit_id, CASE WHEN o IS NULL AND u IS NULL THEN 'item_reference_missing' ELSE 'item_mismatch' END AS problem FROM (SELECT hit_id, nullif({sql_trim('origin_e_id')}, '') AS o, nullif({sql_trim('unit_id')}, '') AS u FROM r) WHERE (o IS NULL AND u IS NULL) OR NOT (coalesce(o, '') = (SELECT min(unit_id) FROM runtime_units) OR coalesce(u, '') = (SELECT min(unit_id) FROM runtime_units))")
+def review_item_mismatch(spark, sf_dir):
+    item = table(spark, sf_dir, "runtime_units").agg(F.min("unit_id")).first()[0]
+    return labels.item_mismatches(rows_of(spark, sf_dir, "origin_e_id", "unit_id"), item)
 
 
 # ---- pairs ----------------------------------------------------------------------------------------------------
@@ -172,17 +189,17 @@ E = f"{J}, e0 AS (SELECT *, unit_id AS item_id, {_SKIP} AS skip_reason FROM j),
 
 
 def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.deduped(pairs.pair_rows(pairs.judged(rows_of(spark, sf_dir), F.col("unit_id"))), ["hit_id", "text_id"])
+    return pairs.deduped(pairs.pair_rows(pairs.judged(rows_of(spark, sf_dir, *_PAIR), F.col("unit_id"))), ["hit_id", "text_id"])
 
 
 @query(f"WITH {E} SELECT skip_reason, count(*) AS n FROM e0 GROUP BY 1")
 def pair_skip_reasons(spark, sf_dir):
-    return pairs.skip_report(pairs.judged(rows_of(spark, sf_dir), F.col("unit_id")))
+    return pairs.skip_report(pairs.judged(rows_of(spark, sf_dir, *_PAIR), F.col("unit_id")))
 
 
 @query(f"WITH {E} SELECT hit_id, item_id, label, example_role, span_key, list_aggregate(list_transform(range(1, len(segs) + 1), lambda i: substring(raw_text, (CASE WHEN i = 1 THEN 0 ELSE segs[i - 1][2] END)::INT + 1, (segs[i][1] - CASE WHEN i = 1 THEN 0 ELSE segs[i - 1][2] END)::INT) || '[SPAN]' || substring(raw_text, segs[i][1]::INT + 1, (segs[i][2] - segs[i][1])::INT) || '[/SPAN]'), 'string_agg', '') || substring(raw_text, segs[len(segs)][2]::INT + 1) AS text_a FROM e")
 def pair_rows(spark, sf_dir):
-    rows = pairs.pair_rows(pairs.judged(rows_of(spark, sf_dir), F.col("unit_id")))
+    rows = pairs.pair_rows(pairs.judged(rows_of(spark, sf_dir, *_PAIR), F.col("unit_id")))
     return longs(rows.select("hit_id", "item_id", "label", "example_role", "span_key", "text_a"))
 
 
@@ -223,7 +240,7 @@ def pair_role_split_cube(spark, sf_dir):
     return pairs.split_cube(pairs.splits(kept(spark, sf_dir), seed=3))
 
 
-_DOM = " ".join(f"WHEN contains(source, '{w}') THEN '{d}'" for w, d in pairs.SOURCE_WORDS)
+_DOM = "WHEN contains(source, '일상') THEN 'daily_conversation' WHEN contains(source, '대화') THEN 'daily_conversation' WHEN contains(source, '신문') THEN 'news' WHEN contains(source, '뉴스') THEN 'news' WHEN contains(source, '비출판') THEN 'non_published' WHEN contains(source, '구어') THEN 'learner_spoken' WHEN contains(source, '문어') THEN 'learner_written' WHEN contains(source, '학습자') THEN 'learner_written'"
 
 
 @query(f"SELECT CASE {_DOM} ELSE 'unknown' END AS domain, count(*) AS n FROM search_corpus GROUP BY 1")
@@ -254,7 +271,7 @@ def merge_row_violations(spark, sf_dir):
 
 @query(f"WITH {E} SELECT 'example_id' AS key, count(*) AS n_groups FROM (SELECT text_id FROM e GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'item_example_id', count(*) FROM (SELECT item_id, text_id FROM e GROUP BY 1, 2 HAVING count(*) > 1) UNION ALL SELECT 'content', count(*) FROM (SELECT item_id, label, raw_text, span_key FROM e GROUP BY 1, 2, 3, 4 HAVING count(*) > 1)")
 def merge_uniqueness(spark, sf_dir):
-    return pairs.uniqueness(pairs.pair_rows(pairs.judged(rows_of(spark, sf_dir), F.col("unit_id"))).withColumn("example_id", F.col("text_id")))
+    return pairs.uniqueness(pairs.pair_rows(pairs.judged(rows_of(spark, sf_dir, *_PAIR), F.col("unit_id"))).withColumn("example_id", F.col("text_id")))
 
 
 @query(f"WITH {E}, {_SPLIT} SELECT item_id, count(*) AS total, count(*) FILTER (WHERE label = 1) AS positive, count(*) FILTER (WHERE label = 0) AS negative, count(*) FILTER (WHERE new_split = 'train') AS train FROM sp GROUP BY ROLLUP (1)")

@@ -35,7 +35,7 @@ def parser() -> argparse.ArgumentParser:
     command("search", bundle=need, input=need, unit_id=many, out=need, review=need, report={}, realtime=yes, overwrite=yes)
     command("prepare-review", input=need, out=need, report={}, overwrite=yes)
     command("first-pass", input=need, out=need, item_id=need, cautions={}, overwrite=yes)
-    command("summarize", input=many, target_pos={"type": int, "default": 100}, target_neg={"type": int, "default": 100}, max_batches={"type": int, "default": 5}, report={})
+    command("summarize", input=many, target_pos={"type": int, "default": 100}, target_neg={"type": int, "default": 100}, max_batches={"type": int, "default": 3}, min_tp={"type": int, "default": 30}, report={})
     command("finalize", input=many, item_id=need, out=need, seed={"type": int, "default": 0}, allow_cleanup=yes, overwrite=yes)
     command("gold", gold=need, bundle=need, unit_id=need, report={})
     command("regex-gold", gold=need, pattern=need, policy={"default": "overlap", "choices": ["overlap", "sentence"]}, report={})
@@ -77,7 +77,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> tuple[int, object]:
         for p in parts[1:]:
             rows = rows.unionByName(p, allowMissingColumns=True)
         if args.command == "summarize":
-            return 0, labels.summary(rows, labels.Goals(args.target_pos, args.target_neg, args.max_batches)).first().asDict()
+            return 0, labels.summary(rows, labels.Goals(args.target_pos, args.target_neg, args.max_batches, args.min_tp)).first().asDict()
         files.guard([args.out], args.overwrite)
         examples, report = pipeline.finalize(rows, args.item_id, allow_cleanup=args.allow_cleanup, seed=args.seed)
         if examples is None:

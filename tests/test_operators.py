@@ -138,12 +138,12 @@ def test_summary_decisions(spark):
     kind = "hit_id string, batch_id string, human_label string, span_status string"
     action = lambda rows, g: labels.summary(spark.createDataFrame(rows, kind), g).first()
     good = [row(k, "T") for k in range(3)] + [row(k + 3, "fp") for k in range(2)]
-    assert action(good, labels.Goals(3, 2)).next_action == "ready_to_export"
-    assert action(good, labels.Goals(9, 2, min_tp=5)).next_action == "switch_to_targeted_search"
-    assert action(good, labels.Goals(9, 2, max_batches=3)).next_action == "max_batches_reached"
-    assert action(good, labels.Goals(9, 2)).next_action == "continue_batches"
-    assert action([*good, row(9, "")], labels.Goals(3, 2)).next_action == "cleanup_labels"
-    assert labels.gate("cleanup_labels") == (False, "blocked: cleanup_labels") and labels.gate("cleanup_labels", True)[0]
+    assert action(good, labels.Goals(3, 2)).next_action == "ready_for_encoder_export"
+    assert action(good, labels.Goals(9, 2, min_tp=5)).next_action == "switch_to_full_corpus_search"
+    assert action(good, labels.Goals(9, 2, max_batches=3, min_tp=0)).next_action == "max_batches_reached"
+    assert action(good, labels.Goals(9, 2, max_batches=9, min_tp=0)).next_action == "continue_batch_search"
+    assert action([*good, row(9, "")], labels.Goals(3, 2)).next_action == "needs_label_cleanup"
+    assert labels.gate("needs_label_cleanup") == (False, "blocked: needs_label_cleanup") and labels.gate("needs_label_cleanup", True)[0]
 
 
 def test_split_sizes(spark):
