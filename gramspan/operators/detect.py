@@ -94,23 +94,37 @@ def _numbered(paths: Column, which: int, score) -> Column:  # noqa: ANN001
 def best_path(cands: list[Column], comps: list[Component], o: Options) -> Column:
     """struct(path, order) of the smallest score over all path orders, null where no path holds; ``cands`` by component.
 
-    Paths come in the order of a depth-first search, so a budget of complete paths is a slice.
+    Paths come in the order of a depth-first search, so a budget of complete paths is a slice, kept while they grow.
     """
 
+    def follows(end: Column, c: Column, before: Component) -> Column:
+        gap = c["s"] - end
+        ok = gap >= max(0, before.min_gap_to_next or 0)
+        return ok & (gap <= before.max_gap_to_next) if before.max_gap_to_next is not None else ok
+
     def paths(order: list[int]) -> Column:
-        out = F.transform(cands[order[0]], lambda c: F.array(c))
-        for left, right in zip(order, order[1:]):
-            out = extended(out, cands[right], comps[left])
+        places = [cands[k] for k in order]
+        before = [comps[k] for k in order]
+        if o.max_candidates_per_component ** len(order) <= o.max_component_paths:
+            return extended(places, before, None)
+
+        # From the last component to the first, only places from which a path can be completed are left; then
+        # every path begun is completed, and at each step the first of them, in search order, are all that is needed.
+        def narrowed(k: int, later: list[Column]) -> Column:
+            own = places[k] if not later else F.filter(places[k], lambda c: F.exists(later[0], lambda x: follows(c["e"], x, before[k])))
+            return let(own, lambda a: narrowed(k - 1, [a, *later]) if k else extended([a, *later], before, o.max_component_paths))
+
+        return narrowed(len(order) - 1, [])
+
+    def extended(places: list[Column], before: list[Component], most: int | None) -> Column:
+        out = F.transform(places[0], lambda c: F.array(c))
+        for k in range(1, len(places)):
+            step = lambda p, k=k: F.transform(F.filter(places[k], lambda c: follows(F.element_at(p, -1)["e"], c, before[k - 1])), lambda c: F.concat(p, F.array(c)))
+            out = F.flatten(F.transform(out, lambda p: step(p)))
+            if most:
+                out = F.slice(out, 1, most)
         return out
 
-    def extended(out: Column, places: Column, before: Component) -> Column:
-        def follows(p: Column, c: Column) -> Column:
-            gap = c["s"] - F.element_at(p, -1)["e"]
-            ok = gap >= max(0, before.min_gap_to_next or 0)
-            return ok & (gap <= before.max_gap_to_next) if before.max_gap_to_next is not None else ok
-
-        return F.flatten(F.transform(out, lambda p: F.transform(F.filter(places, lambda c: follows(p, c)), lambda c: F.concat(p, F.array(c)))))
-
     def score(p: Column, which: int, i: Column) -> Column:
         add = lambda f: F.aggregate(p, F.lit(0), lambda acc, c: acc + f(c))
         gaps = F.aggregate(p, F.struct(F.lit(0).alias("g"), F.element_at(p, 1)["s"].alias("at")), lambda acc, c: F.struct((acc["g"] + c["s"] - acc["at"]).alias("g"), c["e"].alias("at")), lambda acc: acc["g"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.spans import CLOSE, OPEN, format_spans, inject_markers, parse_spans, span_key, span_text, valid
 from ..functions.textfn import blank_to_null, trim_ws
 from .labels import normal_label, normal_status
+from .ranking import numbered
 
 ROLES = {"pos_conti": 1, "pos_disconti": 1, "neg_target_absent": 0}
 SPLITS = ("train", "dev", "test")
@@ -51,7 +52,7 @@ def pair_rows(rows: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     kept = rows.where("skip_reason is null")
     note = F.concat_ws("; ", F.concat(F.lit("hit_id="), F.col("hit_id")), F.concat(F.lit("rules="), blank_to_null("detect_rule_ids")), F.concat(F.lit("memo="), blank_to_null("memo")), F.concat(F.lit("reviewer="), blank_to_null("reviewer")))
     made = kept.withColumns({"text_a": inject_markers(F.col("raw_text"), F.col("segs")), "span_key": span_key(F.col("segs")), "span_text": span_text(F.col("raw_text"), F.col("segs")), "span_json": format_spans(F.col("segs")), "note": note})
-    return made.join(F.broadcast(texts), "item_id", "left") if texts is not None else made
+    return made.join(texts, "item_id", "left") if texts is not None else made  # broadcast only where its size allows it
 
 
 def deduped(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -71,18 +72,19 @@ def instance_ids(rows: DataFrame) -> DataFrame:
 
 def example_ids(rows: DataFrame) -> DataFrame:
     """``<item>-pos-0001`` and ``<item>-neg-0001`` in order of hit id."""
-    n = F.row_number().over(Window.partitionBy("item_id", "label").orderBy("hit_id", "span_key"))
-    return rows.withColumn("example_id", F.format_string("%s-%s-%04d", F.col("item_id"), F.when(F.col("label") == 1, "pos").otherwise("neg"), n))
+    made = numbered(rows, ["item_id", "label"], [F.col("hit_id"), F.col("span_key")], "_place")
+    return made.withColumn("example_id", F.format_string("%s-%s-%04d", F.col("item_id"), F.when(F.col("label") == 1, "pos").otherwise("neg"), F.col("_place"))).drop("_place")
 
 
 def splits(rows: DataFrame, seed: int = 0, dev: float = 0.1, test: float = 0.1) -> DataFrame:
     """``split`` per item and role: in hash order train, dev, test; a role of under 10 rows is all train."""
     key = F.sha2(F.concat_ws("|", F.lit(str(seed)), "item_id", "example_role", "hit_id", "raw_text", "span_key"), 256)
-    w = Window.partitionBy("item_id", "example_role")
-    size, place = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(key, "hit_id"))
+    made = numbered(rows, ["item_id", "example_role"], [key, F.col("hit_id")], "_place")
+    sizes = made.groupBy("item_id", "example_role").agg(F.count(F.lit(1)).alias("_size"))
+    size, place = F.col("_size"), F.col("_place")
     share = lambda x: F.greatest(F.lit(1), F.bround(size * F.lit(x), 0).cast("int"))
     train = size - share(dev) - share(test)
-    return rows.withColumn("split", F.when(size < 10, "train").when(place <= train, "train").when(place <= train + share(dev), "dev").otherwise("test"))
+    return made.join(sizes, ["item_id", "example_role"]).withColumn("split", F.when(size < 10, "train").when(place <= train, "train").when(place <= train + share(dev), "dev").otherwise("test")).drop("_size", "_place")
 
 
 def skip_report(rows: DataFrame) -> DataFrame:

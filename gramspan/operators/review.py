@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spans import cut, format_spans, inspect, parse_spans
-from ..functions.textfn import blank_to_null, finditer_spans, java_pattern, let, without_ws
+from ..functions.textfn import blank_to_null, java_pattern, let, without_ws
 from .detect import each
 
 #: Fixed value: the review columns in their order.
@@ -109,33 +109,30 @@ def match_pair(text: Column, span_json: Column, match_text: Column) -> Column:
     return let(F.coalesce(parsed, F.array().cast("array<int>")), first)
 
 
-def kwic(text: Column, at: Column, tokens: int = 5) -> Column:
-    """The tokens that overlap the match and ``tokens`` on each side, joined by one blank."""
+def _token(text: Column, pattern: str) -> Column:
+    return F.regexp_extract(text, java_pattern(pattern), 1)
+
 
-    def joined(t: Column) -> Column:
-        over = F.filter(F.transform(t, lambda x, i: F.when((x["s"] < at["e"]) & (x["e"] > at["s"]), i)), lambda i: i.isNotNull())
-        lo = F.greatest(F.lit(0), F.array_min(over) - tokens)
-        hi = F.least(F.size(t) - 1, F.array_max(over) + tokens)
-        return F.when(at.isNotNull() & (F.size(over) > 0), F.array_join(F.transform(F.slice(t, lo + 1, hi - lo + 1), lambda x: cut(text, x["s"], x["e"])), " ")).otherwise("")
+def kwic(text: Column, at: Column, tokens: int = 5) -> Column:
+    """The tokens that overlap the match and ``tokens`` on each side, joined by one blank.
 
-    return let(finditer_spans(text, r"\S+"), joined)
+    Only the text beside the match is cut into tokens; to its left it is read backwards.
+    """
+    inner = cut(text, at["s"], at["e"])
+    head = F.length(_token(inner, r"^(\s*)"))
+    tail = F.length(_token(F.reverse(inner), r"^(\s*)"))
+    s, e = at["s"] + head, at["e"] - tail
+    left = F.reverse(_token(F.reverse(cut(text, F.lit(0), s)), rf"^(\S*(?:\s+\S+){{0,{tokens}}})"))
+    right = _token(cut(text, e, F.length(text)), rf"^(\S*(?:\s+\S+){{0,{tokens}}})")
+    whole = F.concat(left, cut(text, s, e), right)
+    return F.when(at.isNotNull() & (head < F.length(inner)), F.regexp_replace(F.regexp_replace(whole, java_pattern(r"\s+"), " "), "^ | $", "")).otherwise("")
 
 
 def adjacent_tokens(text: Column, at: Column) -> Column:
     """struct(left, right_1, right_2): the fragment or token left of the match, and up to two right of it, a split token's rest first."""
-
-    def found(t: Column) -> Column:
-        left = F.filter(t, lambda x: x["s"] < at["s"])
-        right = F.filter(t, lambda x: x["e"] > at["e"])
-        word = lambda x, lo, hi: F.coalesce(cut(text, F.greatest(x["s"], lo), F.least(x["e"], hi)), F.lit(""))
-        end, zero = F.length(text), F.lit(0)
-        return F.struct(
-            F.when(at.isNull(), "").otherwise(word(F.get(left, F.size(left) - 1), zero, at["s"])).alias("left"),
-            F.when(at.isNull(), "").otherwise(word(F.get(right, zero), at["e"], end)).alias("right_1"),
-            F.when(at.isNull(), "").otherwise(word(F.get(right, F.lit(1)), at["e"], end)).alias("right_2"),
-        )
-
-    return let(finditer_spans(text, r"\S+"), found)
+    before, after = F.reverse(cut(text, F.lit(0), at["s"])), cut(text, at["e"], F.length(text))
+    found = {"left": F.reverse(_token(before, r"^\s*(\S+)")), "right_1": _token(after, r"^\s*(\S+)"), "right_2": _token(after, r"^\s*\S+\s+(\S+)")}
+    return F.struct(*[F.when(at.isNull(), "").otherwise(F.coalesce(c, F.lit(""))).alias(n) for n, c in found.items()])
 
 
 @dataclass(frozen=True)
@@ -224,9 +221,11 @@ def first_pass(rows: DataFrame, profile: Profile = NO_PROFILE, cautions: list[Ca
 def reason_report(rows: DataFrame, per_reason: int = 5, labels: dict[str, str] | None = None) -> DataFrame:
     """(reason, label_text, n, rank, hit_id): counts per reason and its first examples in order of hit id."""
     shown = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]), F.col("first_pass_reason")), F.col("first_pass_reason")) if labels else F.col("first_pass_reason")
-    w = Window.partitionBy("first_pass_reason")
-    counted = rows.select("first_pass_reason", "hit_id").withColumns({"n": F.count(F.lit(1)).over(w), "rank": F.row_number().over(w.orderBy("hit_id"))})
-    return counted.where(F.col("rank") <= per_reason).select(F.col("first_pass_reason").alias("reason"), shown.alias("label_text"), "n", "rank", "hit_id")
+    first = Window.partitionBy("first_pass_reason").orderBy("hit_id")
+    top = rows.select("first_pass_reason", "hit_id").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_reason)  # each task keeps a reason's first few
+    counts = rows.groupBy("first_pass_reason").agg(F.count(F.lit(1)).alias("n"))
+    same = top["first_pass_reason"].eqNullSafe(counts["first_pass_reason"])
+    return top.join(counts, same).drop(counts["first_pass_reason"]).select(F.col("first_pass_reason").alias("reason"), shown.alias("label_text"), "n", "rank", "hit_id")
 
 
 def value_counts(rows: DataFrame, columns: list[str], zero: dict[str, list[str]] | None = None) -> DataFrame:

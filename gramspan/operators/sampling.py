@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.textfn import blank_to_null, trim_ws
+from .ranking import numbered
 
 HEADER_WORDS = ("sentence", "form", "text", "raw_text", "source")
 
@@ -38,7 +39,7 @@ def record_hash(seed: int, domain: Column, file: Column, line_no: Column, text:
 def ranked(lines: DataFrame, seed: int, domain: str = "corpus_domain", file: str = "source_file", line_no: str = "source_line_no", text: str = "raw_text") -> DataFrame:
     """Valid lines with ``sample_hash`` and 0-based ``sample_rank`` in their domain."""
     hashed = lines.withColumn("sample_hash", record_hash(seed, F.col(domain), F.col(file), F.col(line_no), F.col(text)))
-    return hashed.withColumn("sample_rank", F.row_number().over(Window.partitionBy(domain).orderBy("sample_hash", line_no)) - 1)
+    return numbered(hashed, [domain], [F.col("sample_hash"), F.col(line_no)], "sample_rank").withColumn("sample_rank", F.col("sample_rank") - 1)
 
 
 def text_id(domain: Column, batch: Column, place: Column) -> Column:
@@ -48,7 +49,7 @@ def text_id(domain: Column, batch: Column, place: Column) -> Column:
 def slice_ranks(lines: DataFrame, plan: DataFrame, seed: int, **columns: str) -> DataFrame:
     """Records of every plan row (domain, batch_index, rank_start, requested) with their text ids.
 
-    Only the ranks that some plan row reaches are kept: a bounded top-k per domain before the join.
+    One ranking serves all plan rows; ranks that no row reaches are left out before the join with the (small) plan.
     """
     domain = columns.get("domain", "corpus_domain")
     reach = plan.groupBy(F.col("domain").alias(domain)).agg(F.max(F.col("rank_start") + F.col("requested")).alias("_reach"))
