@@ -15,7 +15,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bridges import BRIDGES
@@ -238,6 +238,32 @@ def member_violations(units: DataFrame, items: DataFrame) -> DataFrame:
     return members.join(items.select(blank_to_null("e_id").alias("member")).distinct(), "member", "left_anti").select("unit_id", "member")
 
 
+def unit_of(*ids: str) -> Column:
+    """The first of several id columns that isn't blank."""
+    return F.coalesce(*[blank_to_null(c) for c in ids])
+
+
+def unit_violations(units: DataFrame, items: DataFrame) -> DataFrame:
+    """(code, id): repeated units, members without an item, members that another unit claims, several members outside group c."""
+    again = units.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("unit_duplicate").alias("code"), F.col("unit_id").alias("id"))
+    lacking = member_violations(units, items).select(F.lit("unit_member").alias("code"), F.col("unit_id").alias("id"))
+    owner = items.select(blank_to_null("e_id").alias("member"), unit_of("ps_id", "polyset_id").alias("owner"))
+    claimed = units.where(F.size("member_e_ids") > 1).select("unit_id", F.explode("member_e_ids").alias("member")).join(owner, "member").where("owner is not null and owner <> unit_id").select(F.lit("unit_claimed").alias("code"), F.col("unit_id").alias("id"))
+    several = units.where((F.size("member_e_ids") > 1) & ~F.coalesce(F.lower(blank_to_null("group")) == "c", F.lit(False))).select(F.lit("warn_members_outside_c").alias("code"), F.col("unit_id").alias("id"))
+    return again.unionByName(lacking).unionByName(claimed).unionByName(several)
+
+
+def unit_rulesets(items: DataFrame, units: DataFrame | None = None) -> DataFrame:
+    """(unit_id, detect_ruleset_ids): a unit's own rulesets where a row names them, else those of its members in order."""
+    rows = items.select(unit_of("ps_id", "polyset_id", "e_id").alias("unit_id"), blank_to_null("e_id").alias("e_id"), blank_to_null("detect_ruleset_id").alias("r")).where("e_id is not null")
+    own = rows.groupBy("unit_id").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("r").isNotNull(), F.struct("e_id", "r")))), lambda x: x["r"]).alias("derived"))
+    if units is None:
+        return own.select("unit_id", F.col("derived").alias("detect_ruleset_ids"))
+    named = units.select("unit_id", F.col("detect_ruleset_ids").alias("named"))
+    both = own.join(named, "unit_id", "full_outer")
+    return both.select("unit_id", F.when(F.size("named") > 0, F.col("named")).otherwise(F.coalesce("derived", F.array().cast("array<string>"))).alias("detect_ruleset_ids"))
+
+
 def polysets(items: DataFrame) -> DataFrame:
     """Units derived from items that share a polyset id: form, gaps allowed, components, rulesets, members.
 

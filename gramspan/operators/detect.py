@@ -74,6 +74,12 @@ def component_candidates(text: Column, match: Column, comp: Component, o: Option
     return let(cut(text, lo, hi), ranked)
 
 
+def search_debug(text: Column, match: Column, comps: list[Component], o: Options) -> Column:
+    """struct(search_start, search_end, candidate_counts): the window that components are looked for in, and how many places each has."""
+    counts = F.create_map(*[x for c in comps for x in (F.lit(c.comp_id), F.size(component_candidates(text, match, c, o)))])
+    return F.struct(F.greatest(F.lit(0), match["s"] - o.component_window_chars).alias("search_start"), F.least(F.length(text), match["e"] + o.component_window_chars).alias("search_end"), counts.alias("candidate_counts"))
+
+
 def orders(comps: list[Component]) -> list[list[int]]:
     """Path orders as places in ``comps``: the given one, and each swap of two free neighbours, neither of them the anchor."""
     ranks = [(c.anchor_rank, c.comp_order is None, c.comp_order or 0, c.comp_id) for c in comps if c.anchor_rank is not None]

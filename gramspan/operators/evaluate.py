@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spans import overlap, span_key, span_text, valid
 from ..functions.textfn import SPANS, finditer_spans, java_pattern
+from .ranking import numbered
 
 KEYS = ("example_id", "item_id", "label", "split", "text_a", "text_b")
 
 
-def gold_records(rows: DataFrame, unit_id: str) -> DataFrame:
-    """Numbered gold records of one unit with target spans and text, and defaults for split, pattern type and role."""
+def gold_records(rows: DataFrame, unit_id: str, expected: int | None = None) -> DataFrame:
+    """Numbered gold records of one unit with target spans and text, and defaults for split, pattern type and role.
+
+    Another number of good rows than ``expected``, if given, is an error.
+    """
     segs = F.col("segs")
     kind = F.coalesce("pattern_type", F.when(F.size(segs) > 1, "disconti").otherwise("conti"))
-    n = F.row_number().over(Window.orderBy("row_no"))  # a gold set has some fifty rows
     spans = F.transform(segs, lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"), F.substring(F.col("sentence"), x["s"] + 1, x["e"] - x["s"]).alias("text")))
     good = rows.where(valid(F.col("sentence"), segs))
-    return good.select(F.lit(unit_id).alias("unit_id"), F.format_string("%s-GOLD-%03d", F.lit(unit_id), n).alias("example_id"), "sentence", span_text(F.col("sentence"), segs).alias("target_text"), spans.alias("target_spans"), F.coalesce("split", F.lit("train")).alias("split"), kind.alias("pattern_type"), F.concat(F.lit("pos_"), kind).alias("gold_example_role"))
+    if expected is not None and (found := good.count()) != expected:
+        raise ValueError(f"expected {expected} gold rows for {unit_id}, found {found}")
+    placed = numbered(good, [], [F.col("row_no")], "_place")
+    return placed.select(F.lit(unit_id).alias("unit_id"), F.format_string("%s-GOLD-%03d", F.lit(unit_id), F.col("_place")).alias("example_id"), "sentence", span_text(F.col("sentence"), segs).alias("target_text"), spans.alias("target_spans"), F.coalesce("split", F.lit("train")).alias("split"), kind.alias("pattern_type"), F.concat(F.lit("pos_"), kind).alias("gold_example_role"))
 
 
 def target_spans(gold: Column) -> Column:
@@ -79,6 +85,19 @@ def training_violations(rows: DataFrame) -> DataFrame:
     return per_row.unionByName(again).unionByName(missing)
 
 
+def split_counts(rows: DataFrame) -> DataFrame:
+    """(split, label, n) of train, dev and test by both labels, 0 where there is none."""
+    want = rows.sparkSession.createDataFrame([(s, v) for s in ("train", "dev", "test") for v in (0, 1)], "split string, label int")
+    got = rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+    return F.broadcast(want).join(got, ["split", "label"], "left").select("split", "label", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def save_predictions(rows: DataFrame, path: str, limit: int | None = None, order: str = "hit_id") -> DataFrame:
+    """Metrics of all rows; of the rows themselves the first ``limit`` are written, as JSON lines in a folder."""
+    (rows.orderBy(order).limit(limit) if limit is not None else rows).write.mode("overwrite").json(path)
+    return metrics(rows)
+
+
 def length_stats(rows: DataFrame, length: Column, most: int) -> DataFrame:
     """Per split: rows, longest, mean, and the share over ``most``."""
     return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("longest"), F.avg(length).alias("mean"), F.avg((length > most).cast("int")).alias("truncated"))

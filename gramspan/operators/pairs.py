@@ -129,6 +129,46 @@ def import_additions(base: DataFrame, extra: DataFrame) -> DataFrame:
     return both.withColumn("outcome", outcome).drop("_a", "_b")
 
 
+def manual_rows(rows: DataFrame, item_id: str) -> DataFrame:
+    """Hand-written rows as examples: label by role, pattern type by segments, a stable text id where there is none, domain by source."""
+    label = F.when(F.col("example_role").isin(*[r for r, v in ROLES.items() if v]), 1).when(F.col("example_role").isin(*[r for r, v in ROLES.items() if not v]), 0)
+    made = {"item_id": F.lit(item_id), "label": label, "pattern_type": F.when(F.size("segs") > 1, "disconti").otherwise("conti"), "text_id": F.coalesce(blank_to_null("text_id"), stable_text_id(F.lit(item_id), F.col("raw_text"))), "corpus_domain": domain_of_source(F.coalesce("source", F.lit("")))}
+    return rows.withColumns(made | {"span_key": span_key(F.col("segs")), "span_text": span_text(F.col("raw_text"), F.col("segs"))})
+
+
+def import_table(base: DataFrame, extra: DataFrame) -> DataFrame:
+    """``base`` and the rows of ``extra`` that it lacks, with instances numbered anew."""
+    fresh = import_additions(base, extra).where("outcome = 'imported'").drop("outcome")
+    old = [c for c in ("instance_id", "instances") if c in base.columns]
+    return instance_ids(base.drop(*old).unionByName(fresh.drop(*old), allowMissingColumns=True))
+
+
+def import_summary(base: DataFrame, extra: DataFrame) -> DataFrame:
+    """One row: rows before, imported, skipped by id and by content, rows after."""
+    n = lambda x: F.count_if(F.col("outcome") == x)
+    got = import_additions(base, extra).agg(n("imported").alias("imported"), n("skipped_existing").alias("skipped_existing"), n("skipped_duplicate_content").alias("skipped_duplicate_content"))
+    before = base.agg(F.count(F.lit(1)).alias("base"))
+    return got.join(F.broadcast(before)).withColumn("total", F.col("base") + F.col("imported"))  # one row each
+
+
+def instance_summary(rows: DataFrame) -> DataFrame:
+    """One row: texts with several examples of one item, the examples in them, examples without a text id."""
+    text = F.coalesce(blank_to_null("text_id"), F.concat_ws(":", F.lit("text"), F.col("raw_text")))
+    per = rows.groupBy("item_id", text.alias("t")).agg(F.count(F.lit(1)).alias("n"), F.count_if(blank_to_null("text_id").isNull()).alias("lacking"))
+    several = F.col("n") > 1
+    return per.agg(F.count_if(several).alias("n_multi_instance_sentences"), F.coalesce(F.sum(F.when(several, F.col("n"))), F.lit(0)).alias("n_examples_in_multi_instance_sentences"), F.coalesce(F.sum("lacking"), F.lit(0)).alias("n_examples_missing_text_id"))
+
+
+#: Fixed value: the columns of the ledger, in their order.
+LEDGER_COLUMNS = ["item_id", "example_id", "context_left", "target_sentence", "context_right", "instance_id", "split", "span_segments", "pattern_type", "example_role", "source", "note"]
+
+
+def ledger(rows: DataFrame) -> DataFrame:
+    """Examples as the ledger's text columns; the source is the domain where there is one."""
+    own = {"context_left": F.lit(""), "context_right": F.lit(""), "target_sentence": F.col("raw_text"), "span_segments": format_spans(F.col("segs")), "source": F.coalesce(F.nullif(F.col("corpus_domain"), F.lit("")), F.col("source") if "source" in rows.columns else F.lit("")), "instance_id": F.coalesce(F.col("instance_id").cast("string"), F.lit("1"))}
+    return rows.select(*[F.coalesce(own.get(c, F.col(c)).cast("string"), F.lit("")).alias(c) for c in LEDGER_COLUMNS])
+
+
 def row_violations(rows: DataFrame) -> DataFrame:
     """(code, example_id) of rows a strict merge refuses: split, role, label, markers, span key and span text recomputed."""
     segs = F.col("segs")

@@ -18,7 +18,7 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], name: str = "n")
     wide = df.withColumns(keys)
     placed = wide.repartitionByRange(*by, *keys).sortWithinPartitions(*by, *keys).withColumn("_at", F.monotonically_increasing_id()).drop(*keys)
     kept = Scratch(df.sparkSession, "numbered").keep(placed, "rows").withColumn("_part", F.shiftright("_at", 33))
-    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")  # a row per group and partition
     before = kept.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", upto)
     before = before.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], F.col("_part").alias("_p"), "_before")
     on = F.col("_part") == F.col("_p")

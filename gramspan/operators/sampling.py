@@ -60,6 +60,21 @@ def slice_ranks(lines: DataFrame, plan: DataFrame, seed: int, **columns: str) ->
     return hit.withColumn("place", place).withColumn("text_id", text_id(F.col(domain), F.col("batch_index"), place)).drop("rank_start", "requested")
 
 
+def prepare(lines: DataFrame, manifest: DataFrame, batch_index: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(records, report) of one batch of every manifest row (batch_id_prefix, sampling): ranks from batch_index times the quota on.
+
+    All manifests share one ranking; the report has what each wanted of each domain and got.
+    """
+    wants = manifest.select("batch_id_prefix", F.explode("sampling").alias("d", "requested")).select("batch_id_prefix", F.lower(trim_ws("d")).alias("domain"), F.col("requested").cast("long").alias("requested")).where("requested > 0")
+    plan = wants.groupBy("batch_id_prefix", "domain").agg(F.sum("requested").alias("requested")).withColumn("rank_start", F.col("requested") * batch_index)  # a row per manifest and domain
+    kept = ranked(lines, seed)
+    on = (kept["corpus_domain"] == plan["domain"]) & (kept["sample_rank"] >= plan["rank_start"]) & (kept["sample_rank"] < plan["rank_start"] + plan["requested"])
+    records = kept.join(F.broadcast(plan), on).withColumn("batch_id", F.format_string("%s_batch_%03d", "batch_id_prefix", F.lit(batch_index)))
+    got = records.groupBy("batch_id_prefix", "domain").agg(F.count(F.lit(1)).alias("n_selected"), F.min("sample_hash").alias("hash_min"), F.max("sample_hash").alias("hash_max"))
+    report = F.broadcast(plan).join(got, ["batch_id_prefix", "domain"], "left").select("batch_id_prefix", "domain", "rank_start", "requested", F.coalesce("n_selected", F.lit(0)).alias("n_selected"), "hash_min", "hash_max")
+    return records.drop("domain", "rank_start", "requested"), report
+
+
 def domain_report(parsed: DataFrame, domain: str = "corpus_domain") -> DataFrame:
     """Lines seen, valid, empty and unparsable per domain."""
     count = lambda s: F.count_if(F.col("status") == s).alias(f"n_{s}")

@@ -228,12 +228,6 @@ def bridge_adnominal(spark, sf_dir):
     return got.where("n > 0")
 
 
-@query()
-def bridge_nde(spark, sf_dir):
-    got = corpus(spark, sf_dir).select("text_id", "raw_text", F.explode(BRIDGES["nde"].find(F.col("raw_text"), ["ㄴ데"])).alias("x"))
-    return longs(got.select("text_id", "x.s", "x.e", P.cut(F.col("raw_text"), F.col("x.s"), F.col("x.e")).alias("text")))
-
-
 # ---- sampling -------------------------------------------------------------------------------------------------
 
 _LINES = f"ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL), cut AS (SELECT line, string_split(line, ':')[-1] AS tail FROM ln), p AS (SELECT CASE WHEN {sql_trim('line')} = '' OR NOT contains(line, ':') THEN 'parse_error' WHEN {sql_trim('left(line, length(line) - length(tail) - 1)')} = '' THEN 'empty' ELSE 'valid' END AS status, {sql_trim('left(line, length(line) - length(tail) - 1)')} AS t, {sql_trim('tail')} AS src FROM cut)"
@@ -286,14 +280,6 @@ def sample_schedule_lookup(spark, sf_dir):
     return longs(sampling.schedule_lookup(table(spark, sf_dir, "example_making_manifest"), batches))
 
 
-@query()
-def shard_plan_assign(spark, sf_dir):
-    lines = sampling.ranked(_corpus_lines(spark, sf_dir), 17)
-    valid = {r["corpus_domain"]: r["n"] for r in lines.groupBy("corpus_domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = sampling.shard_plan(valid, {"daily_conversation": 500, "news": 200, "lecture_notes": 3}, "daily_conversation", 100)
-    return spark.createDataFrame(plan, "domain string, shard_index long, rank_start long, requested long, selected long")
-
-
 # ---- bundles --------------------------------------------------------------------------------------------------
 
 
@@ -349,7 +335,10 @@ def review_grouping_sets(spark, sf_dir):
     return review.search_report(found(spark, sf_dir, units=["u_exp"], only_hits=False))
 
 
-@query()
+_TWO = "CASE WHEN e - s = 2 OR substring(raw_text, s::INT + 2, (e - s)::INT - 2) = ' ' THEN s || ':' || e ELSE s || ':' || (s + 1) || '|' || (e - 1) || ':' || e END AS span_key, CASE WHEN e - s = 2 OR substring(raw_text, s::INT + 2, (e - s)::INT - 2) = ' ' THEN match_text ELSE left(match_text, 1) || ' ... ' || right(match_text, 1) END AS span_text, 'component_spans' AS span_source"
+
+
+@query(f"WITH c AS (SELECT row_number() OVER () AS rid, text_id, raw_text FROM search_corpus WHERE raw_text IS NOT NULL), {sql_spans('x', 'c', EXP, 'rid, text_id')}, {sql_spans('y', 'c', CAN, 'rid, text_id')}, {sql_spans('z', 'c', WHY, 'rid, text_id')} SELECT text_id, 'u_exp' AS unit_id, {_TWO} FROM x UNION ALL SELECT text_id, 'u_can', {_TWO} FROM y UNION ALL SELECT text_id, 'ps_why', s || ':' || e, match_text, 'regex_match' FROM z")
 def stream_realtime_detect(spark, sf_dir):
     """A stream over the texts' file, run to its end, with the same columns as in batch."""
     import os
@@ -369,12 +358,12 @@ def stream_realtime_detect(spark, sf_dir):
 
 
 def queries() -> dict:
-    from . import catalogue_labels
+    from . import catalogue_labels, catalogue_more
 
-    return QUERIES | catalogue_labels.QUERIES
+    return QUERIES | catalogue_labels.QUERIES | catalogue_more.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalogue_labels
+    from . import catalogue_labels, catalogue_more
 
-    return SQL | catalogue_labels.SQL
+    return SQL | catalogue_labels.SQL | catalogue_more.SQL

@@ -77,7 +77,7 @@ PROFILE = review.Profile([("after", "^[다었]", "tp", "ok", "plain_ending"), ("
 
 
 def _passed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.first_pass(rows_of(spark, sf_dir, "raw_text", "span_segments", "span_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null"), PROFILE, CAUTIONS)
+    return review.first_pass(rows_of(spark, sf_dir, "corpus_domain", "raw_text", "span_segments", "span_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null"), PROFILE, CAUTIONS)
 
 
 _FP = f"""{R}, c0 AS (SELECT *, TRY_CAST(span_segments AS BIGINT[][])[1] AS p FROM r WHERE hit_id IS NOT NULL AND raw_text IS NOT NULL),
@@ -92,7 +92,7 @@ def caution_first_match(spark, sf_dir):
 
 @query(f"WITH {_FP} SELECT hit_id, CASE WHEN regexp_matches(aft, '^[다었]') THEN 'plain_ending' WHEN regexp_matches(win, '[?!]') THEN 'marked' ELSE 'no_rule' END AS reason FROM f")
 def profile_decision_list(spark, sf_dir):
-    return review.first_pass(rows_of(spark, sf_dir, "raw_text", "span_segments", "span_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null"), PROFILE).select("hit_id", F.col("first_pass_reason").alias("reason"))
+    return review.first_pass(rows_of(spark, sf_dir, "corpus_domain", "raw_text", "span_segments", "span_text", "regex_match_span", "regex_match_text").where("hit_id is not null and raw_text is not null"), PROFILE).select("hit_id", F.col("first_pass_reason").alias("reason"))
 
 
 @query(f"WITH {_FP}, n AS (SELECT reason, hit_id, count(*) OVER (PARTITION BY reason) AS n, row_number() OVER (PARTITION BY reason ORDER BY hit_id) AS rank FROM f) SELECT reason, n, rank, hit_id FROM n WHERE rank <= 5")
@@ -430,19 +430,3 @@ def corpus_run_totals(spark, sf_dir):
     quota = {"daily_conversation": 400, "news": 200, "non_published": 200, "lecture_notes": 5}
     _, totals = pipeline.run_corpus(_lines(spark, sf_dir), test_bundle(), "u_exp", quota, "daily_conversation", 17, 12, pipeline.Caps(tp_target=150), PROFILE, CAUTIONS)
     return spark.createDataFrame([tuple(t.values()) for t in totals], "shard_index long, n_input_texts long, n_candidates long, tp long, fp long, unclear long, blank long, all_exhausted boolean, backfill_exhausted boolean, stop_reason string")
-
-
-@query()
-def xlsx_roundtrip(spark, sf_dir):
-    """The units written as a workbook and read again."""
-    import tempfile
-
-    from ..sources.files import cells
-    from ..sources.xlsx import read_sheet, write_sheet
-
-    at = tempfile.mkdtemp() + "/units.xlsx"
-    write_sheet(cells(table(spark, sf_dir, "runtime_units")), at, "units")
-    back = read_sheet(spark, at, "units").collect()  # 22 rows: the file is this machine's
-    return spark.createDataFrame([tuple(r) for r in back], ", ".join(f"{c} {'long' if c == '_row_no' else 'string'}" for c in back[0].__fields__))
-
-

@@ -139,6 +139,24 @@ def finalize(rows: DataFrame, item_id: str, texts: DataFrame | None = None, goal
     return pairs.splits(pairs.example_ids(pairs.instance_ids(kept)), seed), Report("ok", {"summary": s})
 
 
+def finalize_many(rows: DataFrame, item_col: str, goals: labels.Goals = labels.Goals(), allow_cleanup: bool = False, seed: int = 0, texts: DataFrame | None = None) -> tuple[DataFrame, list[dict]]:
+    """Merged examples of all items whose labels may be exported, and each item's outcome: one pass over the rows of all items.
+
+    Outcomes (a row per item, on the driver) have the fields of a run's summary; a blocked item's reason says why.
+    """
+    again = rows.groupBy(item_col, "hit_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(10).collect()
+    if again:
+        raise ValueError(f"repeated hit ids: {[tuple(r)[:2] for r in again]}")
+    outcomes = []
+    for r in labels.summary_by(rows, [item_col], goals).collect():
+        ok, why = labels.gate(r["next_action"], allow_cleanup)
+        outcomes.append({"item_id": r[item_col]} | run_summary(Report("ok" if ok else "blocked", {"summary": r.asDict()}, why)))
+    open_ = [o["item_id"] for o in outcomes if o["status"] == "ok"]
+    kept = pairs.deduped(pairs.pair_rows(pairs.judged(rows.where(F.col(item_col).isin(open_)), F.col(item_col)), texts), ["hit_id"])
+    made = Scratch(rows.sparkSession, "finalize").keep(pairs.splits(pairs.example_ids(pairs.instance_ids(kept)), seed), "examples")
+    return merge_items([made]), outcomes
+
+
 def run_many(entries: list[dict], run: Callable[[dict], Report], defaults: dict | None = None, only: str | None = None, start_at: str | None = None, stop_on_failure: bool = False, dry_run: bool = False) -> dict[str, list[dict]]:
     """Runs every entry under its defaults and sorts the outcomes into ok, blocked, failed, skipped and dry_run."""
     out: dict[str, list[dict]] = {k: [] for k in ("ok", "blocked", "failed", "skipped", "dry_run")}

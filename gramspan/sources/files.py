@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.textfn import blank_to_null, trim_ws
-from .lines import read_lines
+from .lines import read_lines, resolve
 from .xlsx import read_sheet, write_sheet
 
 SKIPPED_DIRS = ("all", "tmp", "archive", "__pycache__")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Records with ``_source_file`` and ``_line_no``; blank lines are skipped, a bad line fails with its place."""
+def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, required: bool = False) -> DataFrame:
+    """Records with ``_source_file`` and ``_line_no``; blank lines are skipped, a bad line fails with its place; so does an empty file, if rows are ``required``."""
+    if required and not os.path.getsize(resolve(path)):
+        raise ValueError(f"no rows in {path}")
     lines = read_lines(spark, path).where(blank_to_null("line").isNotNull())
     parsed = lines.select("source_file", "line_no", "line", F.from_json("line", schema, {"mode": "PERMISSIVE"}).alias("r"), F.try_parse_json("line").alias("j"))
     bad = F.col("j").isNull() | ~F.trim("line").startswith("{")

@@ -1,8 +1,8 @@
 """Line-numbered text as a Spark data source: format ``gramspan_lines``.
 
 Options: ``path`` (a file, a glob or several separated by ``;``), ``encoding``, ``splitBytes``. A file is
-cut into byte ranges that end at line ends, so a file of any size is read by many tasks; a first
-pass of the planner's own counts the lines before each range.
+cut into byte ranges by its size, so a file of any size is read by many tasks and none is read to plan;
+lines are numbered within their range, and ``read_lines`` adds what the ranges before it hold.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import os
 import unicodedata
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -34,46 +34,38 @@ def resolve(path: str) -> str:
 
 
 class Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int, first_line: int):
-        self.path, self.start, self.end, self.first_line = path, start, end, first_line
+    def __init__(self, path: str, place: int, start: int, end: int):
+        self.path, self.place, self.start, self.end = path, place, start, end
+
+
+def sizes(paths: str) -> dict[str, int]:
+    """Bytes of each file that a path, a glob or several of them name."""
+    found = [p for part in paths.split(";") for p in (sorted(glob.glob(part)) or [resolve(part)])]
+    return {p: os.path.getsize(p) for p in found}
 
 
 class LineReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = [p for part in options["path"].split(";") for p in (sorted(glob.glob(part)) or [resolve(part)])]
+        self.sizes = sizes(options["path"])
         self.encoding, self.split = options.get("encoding", "utf-8-sig"), int(options.get("splitbytes", SPLIT))
 
     def partitions(self) -> list[Range]:
-        out = []
-        for path in self.paths:
-            size, at, lines = os.path.getsize(path), 0, 1
-            with open(path, "rb") as f:
-                while at < size:
-                    end, n = min(size, at + self.split), 0
-                    f.seek(at)
-                    left = end - at
-                    while left:
-                        block = f.read(min(left, 1 << 20))
-                        n += block.count(b"\n")
-                        left -= len(block)
-                    rest = f.readline() if end < size else b""
-                    end += len(rest)
-                    n += rest.count(b"\n")
-                    out.append(Range(path, at, end, lines))
-                    at, lines = end, lines + n
-        return out
+        """Byte ranges by size alone; a line belongs to the range that it begins in."""
+        return [Range(path, k, at, min(size, at + self.split)) for path, size in self.sizes.items() for k, at in enumerate(range(0, size, self.split))]
 
     def read(self, part: Range) -> Iterator[tuple]:
         name = unicodedata.normalize("NFC", os.path.basename(part.path))
         codec = "utf-8" if self.encoding.lower().replace("_", "-") in ("utf-8-sig", "utf8-sig") else self.encoding
         with open(part.path, "rb") as f:
-            f.seek(part.start)
-            at, n = part.start, part.first_line
+            at, n = part.start, 1
+            if at:
+                f.seek(at - 1)
+                at += len(f.readline()) - 1
             while at < part.end:
                 raw = f.readline()
                 at += len(raw)
                 text = raw.decode(codec, "replace").rstrip("\r\n")
-                yield name, n, text.removeprefix("﻿") if n == 1 else text
+                yield name, part.path, part.place, n, text.removeprefix("﻿") if n == 1 and not part.place else text
                 n += 1
 
 
@@ -83,23 +75,30 @@ class LineSource(DataSource):
         return "gramspan_lines"
 
     def schema(self) -> str:
-        return "source_file string, line_no long, line string"
+        return "source_file string, path string, part int, line_no long, line string"
 
     def reader(self, schema) -> LineReader:  # noqa: ANN001
         return LineReader(self.options)
 
 
 def read_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """(source_file, line_no, line). Where a file has several ranges, their lines are counted by a job and added up, a row per range."""
     spark.dataSource.register(LineSource)
-    return spark.read.format("gramspan_lines").options(path=path, **options).load()
+    lines = spark.read.format("gramspan_lines").options(path=path, **options).load()
+    split = int(options.get("splitBytes", SPLIT))
+    if max(sizes(path).values(), default=0) > split:
+        upto = F.sum("n").over(Window.partitionBy("path").orderBy("part")) - F.col("n")
+        before = lines.groupBy("path", "part").agg(F.count(F.lit(1)).alias("n")).select("path", "part", upto.alias("before"))
+        lines = lines.join(before, ["path", "part"]).withColumn("line_no", F.col("line_no") + F.col("before"))
+    return lines.select("source_file", "line_no", "line")
 
 
-def read_corpus(spark: SparkSession, path: str, domain: str, delimiter: str = ";", encoding: str = "utf-8-sig") -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, domain: str, delimiter: str = ";", encoding: str = "utf-8-sig", split_bytes: int = SPLIT) -> DataFrame:
     """(corpus_domain, source_file, source_row_index, source_line_no, status, raw_text, source) of a delimited corpus.
 
     A header is told by its words and left out; it makes row numbers start at the second line.
     """
-    lines = read_lines(spark, path, encoding=encoding)
+    lines = read_lines(spark, path, encoding=encoding, splitBytes=str(split_bytes))
     first = lines.where("line_no = 1").select("source_file", is_header(F.col("line"), delimiter).cast("int").alias("header"))
     rows = lines.join(F.broadcast(first), "source_file").where("line_no > header")  # a row per file
     cut = rows.withColumn("p", parse_line(F.col("line"), delimiter))

@@ -7,7 +7,7 @@ def test_sql_only_for_registered_queries():
     q, o = catalogue.queries(), catalogue.oracle_sql()
     assert len(q) > 70 and set(o) <= set(q)
     assert all(callable(f) for f in q.values())
-    assert set(q) - set(o) == {"bridge_nde", "shard_plan_assign", "stream_realtime_detect", "ml_standin_predictions", "xlsx_roundtrip", "corpus_run_rows", "corpus_run_totals"}
+    assert set(q) - set(o) == {"ml_standin_predictions", "corpus_run_rows", "corpus_run_totals"}
 
 
 def test_entry_points():

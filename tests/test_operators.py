@@ -164,7 +164,7 @@ def test_gold_and_finalize(spark):
     rows, report = pipeline.run_batch(corpus.withColumn("corpus_domain", F.lit("news")), bundle, "u", gold.where("example_id = 'g1'"))
     assert report.status == "ok" and [r.hit_id for r in rows.collect()] == ["t1-cand01"]
     done = rows.withColumns({"human_label": F.lit("tp"), "span_status": F.lit("ok")})
-    examples, report = pipeline.finalize(done, "u")
+    examples, report = pipeline.finalize(done, "u", goals=labels.Goals(min_tp=0))
     e = examples.first()
     assert e.example_id == "u-pos-0001" and e.text_a == "본 [SPAN]적[/SPAN] 있다" and e.split == "train"
     assert pipeline.merge_items([examples]).count() == 1
