@@ -86,6 +86,14 @@ def _alternatives(items) -> list:
     return [items]
 
 
+#: Common letters, most common first: of a needle, its rarest one is looked for first.
+COMMON = "이다는을가에고의로하한지기를은서도사시해어아있리인자것" + "etaoinsrhldcumfpgwybvkxjqz"
+
+
+def _rarest(needle: str) -> str:
+    return max(needle, key=lambda c: (len(COMMON) if (at := COMMON.find(c)) < 0 else at, c))
+
+
 class Needles:
     """Call with a folded text: False means that none of the rules can match anywhere in it.
 
@@ -105,13 +113,17 @@ class Needles:
                 else:
                     gates.setdefault(tuple(sorted(sets[0])), []).append([tuple(sorted(s)) for s in sets[1:KEPT]])
         self.gates = list(gates.items())
-
-    def __call__(self, folded: str) -> bool:
+        self.by_letter: dict[str, list[tuple[str, list]]] = {}
         for first, others in self.gates:
             for needle in first:
-                if needle in folded:
-                    for sets in others:
-                        if all(any(n in folded for n in s) for s in sets):
-                            return True
-                    break
+                self.by_letter.setdefault(_rarest(needle), []).append((needle, others))
+
+    def __call__(self, folded: str) -> bool:
+        for letter, needles in self.by_letter.items():
+            if letter in folded:
+                for needle, others in needles:
+                    if needle in folded:
+                        for sets in others:
+                            if all(any(n in folded for n in s) for s in sets):
+                                return True
         return self.bare is not None and self.bare.search(folded) is not None

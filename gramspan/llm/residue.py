@@ -102,7 +102,7 @@ _CHROME = re.compile(
     re.X,
 )
 _QUOTED = re.compile(r"'[^'\n]{1,80}'|‘[^’\n]{1,80}’|\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|「[^」\n]{1,80}」")
-_MASKS = [(re.compile(r"https?://\S+|www\.\S+|[\w.+-]+@[\w-]+\.\S+|/[\w./-]{2,}|[\w-]+(?:\.[\w-]+)+(?::\d+)?"), "<u>"), (re.compile(r"\d{1,4}[년월일시분초](?:\s?\d{1,2}[월일시분초])*|\d{1,4}[-./:]\d{1,2}(?:[-./:]\d{1,4})?"), "<d>"), (re.compile(r"(?=[0-9a-f]{6})(?=\w*\d)[0-9a-f]{6,}|\d+"), "<n>")]
+_MASKS = [(re.compile(r"https?://\S+|www\.\S+|[\w.+-]+@[\w-]+\.\S+|/[\w./-]{2,}|[\w-]+(?:\.[\w-]+)+(?::\d+)?"), "<u>"), (re.compile(r"\d{1,4}[년월일시분초](?:[^\S\n]?\d{1,2}[월일시분초])*|\d{1,4}[-./:]\d{1,2}(?:[-./:]\d{1,4})?"), "<d>"), (re.compile(r"(?=[0-9a-f]{6})(?=\w*\d)[0-9a-f]{6,}|\d+"), "<n>")]
 #: Words that make a message suspect though no phrase rule knows it: it then counts if it recurs widely.
 _SUSPECT = re.compile(r"오류|장애|접속|페이지|서버|브라우저|스크립트|쿠키|입력|점검 중|준비 중|예정|(?i:\b(?:error|javascript|browser|server|denied|unavailable|timeout|enable)\b)")
 _CUT = re.compile(r"[\n\r|]+|\s[/>-]\s|(?<=[.!?])\s+")
@@ -116,12 +116,13 @@ def _letters(text: str) -> int:
     return len(_others.sub("", text))
 
 
-def masked(message: str) -> str:
-    """The message in lower case, with numbers, addresses, dates and times masked and blanks made one."""
-    for k, (pattern, by) in enumerate(_MASKS):
-        if _digit(message) if k else "@" in message or "/" in message or "." in message[:-1]:  # else it can't match
-            message = pattern.sub(by, message)
-    return " ".join(message.lower().split())
+def masked(*messages: str) -> list[str]:
+    """Messages in lower case, with numbers, addresses, dates and times masked and blanks made one; no mask reaches over a line end."""
+    (address, u), (date, d), (number, n) = _MASKS
+    text = "\n".join([address.sub(u, m) if "@" in m or "/" in m or "." in m[:-1] else m for m in messages])  # else there is no address
+    if _digit(text):
+        text = number.sub(n, date.sub(d, text))
+    return [" ".join(m.split()) for m in text.lower().split("\n")]
 
 
 def _unquoted(text: str) -> str:
@@ -133,7 +134,7 @@ def _unquoted(text: str) -> str:
 
 
 #: A status number that stands free, as every match of the rules for bare numbers has one: quotes become blanks, messages end at these signs.
-_CODE = re.compile(r"""(?<![^\s|'’"”」])[45]\d\d(?=$|[\s|/'‘"“「-])""")
+_CODE = re.compile(r"""[45](?<![^\s|'’"”」][45])\d\d(?=$|[\s|/'‘"“「-])""")  # the number first: most texts have none
 #: Derived from the rules: a text without these needles matches none of them; plain substring search is far cheaper.
 _blanks, _voids, _lorem, _words = Needles(_PLACEHOLDER), Needles(_EMPTY, _AFTER_LABEL), Needles(_LOREM), Needles(_LATIN)
 _suspects, _furniture = Needles(_SUSPECT), Needles(_CHROME)
@@ -161,19 +162,19 @@ def filled_in(text: str) -> bool:
 @lru_cache(1 << 16)
 def _message(message: str) -> tuple[bool, bool, int, int]:
     """(a rule matches, page furniture matches, letters neither explains, letters) of one line or sentence."""
-    total, rest, hit = _letters(message), message, False
-    for may, pattern in _phrases:
-        if may(fold(rest)):
+    total, rest, hit, low = _letters(message), message, False, fold(message)
+    for may, pattern in _phrases:  # what a rule takes out is a blank then and can't bring about another rule's needle
+        if may(low):
             rest, n = pattern.subn(" ", rest)
             hit |= n > 0
-    if not _latin(fold(rest)):
+    if not _latin(low):
         pass
     elif len(_LOREM.findall(rest)) >= 2 or not _letter(_LATIN.sub("", rest)) and (len(rest.split()) > 1 or _LOREM.search(rest)):
         bare = _LATIN.sub(" ", rest)
         hit, rest = hit or bare != rest, bare
     if _status(message):
         return True, False, 0, total
-    bare, n = _CHROME.subn(" ", rest) if _furniture(fold(rest)) else (rest, 0)
+    bare, n = _CHROME.subn(" ", rest) if _furniture(low) else (rest, 0)
     return hit, n > 0, _letters(bare), total
 
 
@@ -237,8 +238,8 @@ def _judged(batches):
         for text in batch.column(2).to_pylist():
             case, messages = weigh(text)
             total, own = sum(n for _, n, _, _ in messages), {}
-            for m, n, rest, suspect in messages:
-                one = own.setdefault(_number(masked(m)), [0, 0, False])
+            for m, (_, n, rest, suspect) in zip(masked(*(m for m, _, _, _ in messages)) if messages else (), messages):
+                one = own.setdefault(_number(m), [0, 0, False])
                 one[0], one[1], one[2] = one[0] + n, one[1] + rest, one[2] or suspect
             for h, (n, rest, suspect) in own.items():
                 for column, x in zip(flat, (h, rest, suspect, _most(total - n, total))):

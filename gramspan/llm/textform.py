@@ -30,14 +30,14 @@ LABEL_MAX, PIECE = 20, 3
 
 
 @lru_cache(1)
-def _table() -> dict[int, str]:
-    table = {ord(k): v for k, v in LOOKALIKES.items()}
+def _table() -> dict[str, str]:
+    table = dict(LOOKALIKES)
     for cp in (*range(0x80, 0x20000), *range(0xE0000, 0xE0200)):  # no format or space character lies elsewhere
         kind = unicodedata.category(chr(cp))
         if kind == "Cf":
-            table[cp] = ""
+            table[chr(cp)] = ""
         elif kind == "Zs":
-            table[cp] = " "
+            table[chr(cp)] = " "
     return table
 
 
@@ -45,11 +45,19 @@ def look(text: str) -> str:
     """One consistent form of ``text``; a text that is in it already comes back as it is."""
     if _stable(text):
         return text
-    while (made := unicodedata.normalize("NFKC", text).translate(_table())) != text:  # taking a character away can bring a mark to its base
+    while (made := _translated(unicodedata.normalize("NFKC", text))) != text:  # taking a character away can bring a mark to its base
         text = made
     return text
 
 
+def _translated(text: str) -> str:
+    """The table applied to the few characters of a text that it has; none of what it gives is one of them."""
+    table = _table()
+    for c in set(text) & table.keys():
+        text = text.replace(c, table[c])
+    return text
+
+
 def plain_core(text: str) -> str:
     return "".join(filter(str.isalnum, text.lower()))
 
