@@ -34,7 +34,7 @@ ALONE, OFTEN, SPREAD = 20, 0.001, 0.25  # documents made of one message that no
 
 # Phrase rules, fixed values. KO_THING: what a form asks for; the rest are the turns such messages take.
 _FIELD = r"(?:이름|성명|고객명|회원명|담당자|작성자|날짜|일자|시간|주소|금액|가격|제목|부제목|링크|내용|본문|상품명|회사명|연락처|전화번호|이메일|번호|name|title|date|time|company|address|email|phone|order|link|url|price|amount|user|subject|content|body|[a-z]+(?:_[a-z]+)+|[A-Z]+(?:_[A-Z]+)+|[a-z]+(?:\.[a-z_]+)+|[a-z]+[A-Z][A-Za-z]*)"
-_NAME = r"[\w.가-힣]{1,30}"
+_NAME = r"[\w.가-힣]+"
 _PLACEHOLDER = re.compile(
     rf"""\{{\{{\s*{_NAME}\s*\}}\}}            # {{{{ x }}}}
     |\{{%\s*{_NAME}\s*%\}}|<%=?\s*{_NAME}\s*%>  # template tags
@@ -101,7 +101,7 @@ _CHROME = re.compile(
     |이\s사이트를\s이용하려면|원활한\s이용을\s위해|브라우저\s설정에서|브라우저가|(?:본|이|해당|저희)\s(?:페이지|사이트|화면|문서|서비스|기능|누리집)(?:은|는|이|을|를)?|(?i:\bat\s[\w.-]+:\d+)|요청하신|찾으시는|입력하신|고객님|이용에\s불편을\s드려\s죄송합니다|관리자에게\s문의(?:해\s주세요|하세요)|쿠키와\s스크립트가\s필요합니다""",
     re.X,
 )
-_QUOTED = re.compile(r"'[^'\n]{1,80}'|‘[^’\n]{1,80}’|\"[^\"\n]{1,80}\"|“[^”\n]{1,80}”|「[^」\n]{1,80}」")
+_QUOTED = re.compile(r"'[^'\n]{1,80}'|‘[^’\n]+’|\"[^\"\n]+\"|“[^”\n]+”|「[^」\n]+」")
 _MASKS = [(re.compile(r"https?://\S+|www\.\S+|[\w.+-]+@[\w-]+\.\S+|/[\w./-]{2,}|[\w-]+(?:\.[\w-]+)+(?::\d+)?"), "<u>"), (re.compile(r"\d{1,4}[년월일시분초](?:[^\S\n]?\d{1,2}[월일시분초])*|\d{1,4}[-./:]\d{1,2}(?:[-./:]\d{1,4})?"), "<d>"), (re.compile(r"(?=[0-9a-f]{6})(?=\w*\d)[0-9a-f]{6,}|\d+"), "<n>")]
 #: Words that make a message suspect though no phrase rule knows it: it then counts if it recurs widely.
 _SUSPECT = re.compile(r"오류|장애|접속|페이지|서버|브라우저|스크립트|쿠키|입력|점검 중|준비 중|예정|(?i:\b(?:error|javascript|browser|server|denied|unavailable|timeout|enable)\b)")
