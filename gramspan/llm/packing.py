@@ -27,6 +27,7 @@ from ..session import Scratch
 from .tokens import VOCABULARY, count
 
 GROUP = 40_000  # items packed by one task
+MOST_KINDS = 1_000  # kinds of containers
 
 
 def best_two_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -116,7 +117,11 @@ def pack(df: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col:
             n += 1
         return pd.DataFrame(out, columns=["container_kind", "container", "id", "start_token", "tokens"])
 
-    spread = sizes.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups))).join(F.broadcast(kinds))  # container kinds: a few rows, read from a small fixed table
+    few = kinds.limit(MOST_KINDS + 1).collect()
+    if len(few) > MOST_KINDS:
+        raise ValueError(f"over {MOST_KINDS} kinds of containers, for each of which every text is packed")
+    each = F.array(*[F.struct(F.lit(r["kind"]).alias("kind"), F.lit(r["capacity"]).alias("capacity")) for r in few]).cast("array<struct<kind:string,capacity:bigint>>")
+    spread = sizes.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups))).withColumn("k", F.explode(each)).select("id", "tokens", "grp", "k.*")
     return spread.groupBy("kind", "grp").applyInPandas(one, f"container_kind string, container string, id {id_kind}, start_token long, tokens long")
 
 

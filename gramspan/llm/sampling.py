@@ -4,7 +4,8 @@ Method: systematic unequal-probability sampling. Members are put in random order
 categories; inclusion probabilities (target / members, at most 1) are prefix-summed across the
 range partitions; the members at which the running sum crosses random start + integer are drawn.
 All samples share one ordered population; each has its own start. Categories left under their
-floor are then repaired from their first undrawn members.
+floor are then repaired from their first undrawn members. Where that takes a sample beyond its total,
+categories above their floor give back their last drawn, in proportion to what each has over it.
 
 Defined cases: category names are trimmed and lower-cased, null or blank names are no category;
 members repeat once per category however many rows they have; null ids are left out; a member
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 import random
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +86,11 @@ class Line:
     start: float
     drawn: int
     repaired: int
+    removed: int = 0
+
+    @property
+    def n(self) -> int:
+        return self.drawn + self.repaired - self.removed
 
 
 def plan(wants: list[Want], sizes: dict[str, int], seed: int = 0) -> list[Line]:
@@ -95,30 +101,45 @@ def plan(wants: list[Want], sizes: dict[str, int], seed: int = 0) -> list[Line]:
         by_sample[w.sample].append(w)
     lines = []
     for sample, own in sorted(by_sample.items()):
-        start, total = random.Random(f"{seed}|{'|'.join(sample)}").random(), 0.0
+        start, total, made = random.Random(f"{seed}|{'|'.join(sample)}").random(), 0.0, []
         for w in sorted(own, key=lambda w: (w.category, w.offset)):
             available = sizes.get(w.category, 0)
             eligible = max(0, available - w.offset)
             after = total + min(float(w.target), eligible)
             drawn = math.floor(after - start) - math.floor(total - start)
             repaired = max(0, min(w.floor, eligible) - drawn)
-            lines.append(Line(w, available, eligible, total, after, start, drawn, repaired))
+            made.append(Line(w, available, eligible, total, after, start, drawn, repaired))
             total = after
+        over = [x.drawn - min(x.want.floor, x.eligible) if not x.repaired else 0 for x in made]
+        beyond = sum(x.drawn + x.repaired for x in made) - math.ceil(sum(max(0.0, x.want.target) for x in made))
+        lines += [replace(x, removed=k) for x, k in zip(made, given_back(max(0, min(beyond, sum(x.repaired for x in made))), over))]
     return lines
 
 
+def given_back(n: int, over: list[int]) -> list[int]:
+    """``n``, or all there is, taken from ``over`` in whole numbers in proportion, the largest remainders first."""
+    whole = sum(x for x in over if x > 0)
+    n = min(n, whole)
+    exact = [n * max(0, x) / whole if whole else 0.0 for x in over]
+    out = [math.floor(x) for x in exact]
+    for k in sorted(range(len(over)), key=lambda k: (out[k] - exact[k], k))[: n - sum(out)]:
+        out[k] += 1
+    return out
+
+
 def draw(population: Population, lines: list[Line], names: list[str]) -> DataFrame:
     """(*names of the sample key, category, id) of every member drawn."""
-    rows = [(*x.want.sample, x.want.category, x.want.offset, x.eligible, x.before, x.after, x.start, x.repaired) for x in lines if x.eligible and x.drawn + x.repaired]
-    kind = ", ".join(f"{n} string" for n in names) + ", category string, skip long, eligible long, s0 double, s1 double, start double, repaired long"
+    rows = [(*x.want.sample, x.want.category, x.want.offset, x.eligible, x.before, x.after, x.start, x.repaired, x.drawn - x.removed) for x in lines if x.eligible and x.n]
+    kind = ", ".join(f"{n} string" for n in names) + ", category string, skip long, eligible long, s0 double, s1 double, start double, repaired long, kept long"
     table = population.spark.createDataFrame(rows, kind)
     at = population.ranked().join(F.broadcast(table), "category").withColumn("r", F.col("rank") - F.col("skip")).where("r >= 0")
     step = (F.col("s1") - F.col("s0")) / F.col("eligible")
     upto = lambda r: F.when(r == 0, F.col("s0")).when(r == F.col("eligible"), F.col("s1")).otherwise(F.col("s0") + r * step)
     crossed = lambda r: F.floor(upto(r) - F.col("start"))
     taken = at.withColumn("c0", crossed(F.col("r"))).withColumn("c1", crossed(F.col("r") + 1))
-    undrawn_before = F.col("r") - (F.col("c0") - F.floor(F.col("s0") - F.col("start")))
-    return taken.where((F.col("c1") > F.col("c0")) | (undrawn_before < F.col("repaired"))).select(*names, "category", "id")
+    first = F.floor(F.col("s0") - F.col("start"))
+    drawn = (F.col("c1") > F.col("c0")) & (F.col("c1") - first <= F.col("kept"))
+    return taken.where(drawn | (F.col("r") - (F.col("c0") - first) < F.col("repaired"))).select(*names, "category", "id")
 
 
 def report(spark: SparkSession, lines: list[Line], names: list[str]) -> DataFrame:
@@ -127,12 +148,12 @@ def report(spark: SparkSession, lines: list[Line], names: list[str]) -> DataFram
     totals: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0])
     for x in lines:
         totals[x.want.sample][0] += x.want.target
-        totals[x.want.sample][1] += x.drawn + x.repaired
+        totals[x.want.sample][1] += x.n
     for x in lines:
         wanted, got = totals[x.want.sample]
-        n = x.drawn + x.repaired
-        rows.append((*x.want.sample, x.want.category, float(x.want.target), x.want.offset, x.want.floor, x.available, n, x.repaired, bool(x.available < x.want.target + x.want.offset), bool(n < x.want.floor), x.want.target / wanted if wanted else None, n / got if got else None))
-    kind = ", ".join(f"{n} string" for n in names) + ", category string, target double, skip long, floor long, available long, drawn long, repaired long, short boolean, under_floor boolean, target_share double, share double"
+        n = x.n
+        rows.append((*x.want.sample, x.want.category, float(x.want.target), x.want.offset, x.want.floor, x.available, n, x.repaired, x.removed, bool(x.available < x.want.target + x.want.offset), bool(n < x.want.floor), x.want.target / wanted if wanted else None, n / got if got else None))
+    kind = ", ".join(f"{n} string" for n in names) + ", category string, target double, skip long, floor long, available long, drawn long, repaired long, removed long, short boolean, under_floor boolean, target_share double, share double"
     return spark.createDataFrame(rows, kind)
 
 

@@ -29,10 +29,12 @@ def test_sample_counts_floors_and_offsets(spark):
     population = S.Population(spark.createDataFrame(rows, "id string, d string").withColumn("rank", F.lit(0)), "id", "d")
     assert dict(population.sizes) == {"a": 400, "b": 90, "c": 7}
     wants = [S.Want(("s",), "a", 120), S.Want(("s",), "b", 200, 5), S.Want(("s",), "c", 0, 0, 4), S.Want(("s",), "zz", 3), S.Want(("half",), "a", 10.5), S.Want(("half",), "b", 2.25), S.Want(("half",), "c", 0.25)]
+    wants += [S.Want(("full",), "a", 30), S.Want(("full",), "b", 10, 0, 8), S.Want(("full",), "c", 1, 0, 7)]
     lines = S.plan(wants, population.sizes, seed=4)
     got = drawn_counts(population, lines)
     assert got["s", "a"] == 120 and got["s", "b"] == 85 and got["s", "c"] == 4 and ("s", "zz") not in got
     assert sum(n for (s, _), n in got.items() if s == "half") == 13 and got["half", "a"] in (10, 11)
+    assert sum(n for (s, _), n in got.items() if s == "full") == 41 and got["full", "c"] == 7 and got["full", "b"] >= 8
     rep = {(r.sample, r.category): r for r in S.report(spark, lines, NAMES).collect()}
     assert all(rep[k].drawn == n for k, n in got.items())
     assert rep["s", "b"].short and rep["s", "zz"].short and not rep["s", "a"].short and rep["s", "c"].repaired == 4
@@ -52,7 +54,7 @@ def test_plan_draws_what_the_start_allows(data, seed):
     wants = [S.Want(("s",), c, t, o, f) for c, (_, t, o, f) in data.items()]
     for x in S.plan(wants, {c: n for c, (n, *_) in data.items()}, seed):
         t = min(x.want.target, x.eligible)
-        assert int(t) - 1e-6 <= x.drawn <= t + 1 and x.drawn + x.repaired >= min(x.want.floor, x.eligible)
+        assert int(t) - 1e-6 <= x.drawn <= t + 1 and x.n >= min(x.want.floor, x.eligible)
 
 
 def components(rows):
