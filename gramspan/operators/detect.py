@@ -23,6 +23,7 @@ _CAND = "array<struct<d:int,neg:int,pen:int,s:int,i:int,e:int,bridge:string>>"
 _STRINGS = "array<string>"
 _SPAN_MAP = "map<string,struct<s:int,e:int>>"
 ANALYSIS = ["partial_component_spans", "partial_span_segments", "partial_span_key", "partial_span_text", "matched_component_ids", "missing_required_component_ids"]
+MOST_COMPILED = 1_000  # expressions kept
 SOURCES = ["component_spans", "regex_match_fallback", "regex_match"]
 
 
@@ -237,6 +238,16 @@ def _candidate(text: Column, match: Column, unit: Unit, rule: Rule, comps: list[
     return let(_assembled(text, match, comps, o), build) if comps else build(None)
 
 
+def compiled(df: DataFrame, key: tuple, build) -> Column:  # noqa: ANN001
+    """The expression built for ``key``, once per application: a bundle is compiled for its first texts and reused for all later ones."""
+    held = df.sparkSession.sparkContext.__dict__.setdefault("_gramspan_compiled", {})
+    if key not in held:
+        if len(held) >= MOST_COMPILED:
+            held.clear()
+        held[key] = build()
+    return held[key]
+
+
 def _candidates(text: Column, matches: Column, unit: Unit, rule: Rule, comps: list[Component], o: Options) -> Column:
     return F.transform(matches, lambda m: _candidate(text, m, unit, rule, comps, o))
 
@@ -291,10 +302,12 @@ def detect(df: DataFrame, bundle: Bundle, unit_ids: list[str] | None = None, tex
     if only_hits:
         df = df.where(hit)
     # One column per rule, with one match more than the cap to tell truncation.
-    names = {f"_m{k}": F.when(hit, finditer_spans(text, r.pattern, o.max_matches_per_rule + 1)) for k, (_, r) in enumerate(runs)}
+    spans = [compiled(df, ("spans", text_col, r.pattern, o.max_matches_per_rule), lambda r=r: finditer_spans(text, r.pattern, o.max_matches_per_rule + 1)) for _, r in runs]
+    names = {f"_m{k}": F.when(hit, x) for k, x in enumerate(spans)}
     staged = df.withColumns(names) if names else df
     matches = [F.slice(F.coalesce(F.col(f"_m{k}"), F.array().cast(SPANS)), 1, o.max_matches_per_rule) for k in range(len(runs))]
-    arrays = [_candidates(text, m, u, r, bundle.components_of(r.unit_id), o) for m, (u, r) in zip(matches, runs)]
+    comps = [bundle.components_of(r.unit_id) for _, r in runs]
+    arrays = [compiled(df, ("candidates", text_col, k, u, r, tuple(c), o), lambda m=m, u=u, r=r, c=c: _candidates(text, m, u, r, c, o)) for k, (m, (u, r), c) in enumerate(zip(matches, runs, comps))]
     if not arrays:
         raise ValueError("the active units have no detection rule")
     found = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
