@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bridges import BRIDGES
-from ..functions.textfn import blank_to_null, java_pattern
+from ..functions.textfn import blank_to_null, java_pattern, trim_ws
 
 SCHEMA_VERSION = "detector_bundle_v1"
 GROUPS, STAGES, POLICIES = ("a", "b", "c"), ("detect", "verify"), ("fx", "fl")
@@ -264,21 +264,74 @@ def unit_rulesets(items: DataFrame, units: DataFrame | None = None) -> DataFrame
     return both.select("unit_id", F.when(F.size("named") > 0, F.col("named")).otherwise(F.coalesce("derived", F.array().cast("array<string>"))).alias("detect_ruleset_ids"))
 
 
-def polysets(items: DataFrame) -> DataFrame:
-    """Units derived from items that share a polyset id: form, gaps allowed, components, rulesets, members.
+def polysets(items: DataFrame, explicit: DataFrame | None = None) -> DataFrame:
+    """Units of items that share a polyset id: form, gaps allowed, components, members, and the gloss for an encoder.
 
-    The form is the members' common one without trailing digits, or the differing ones joined by ``/``.
+    The derived form is the members' common one without trailing digits, or all their forms joined by ``/``. A row of
+    ``explicit`` (ps_id, canonical_form, gloss_intro) wins over what is derived, and its intro comes before the glosses.
     """
-    rows = items.select(F.coalesce(blank_to_null("ps_id"), blank_to_null("polyset_id")).alias("ps_id"), blank_to_null("e_id").alias("e_id"), F.regexp_replace(blank_to_null("canonical_form"), r"\d+$", "").alias("form"), "disconti_allowed", "e_comp_ids", blank_to_null("gloss").alias("gloss")).where("ps_id is not null and e_id is not null")
+    form = F.coalesce(blank_to_null("canonical_form"), blank_to_null("e_id"))
+    rows = items.select(unit_of("ps_id", "polyset_id").alias("ps_id"), blank_to_null("e_id").alias("e_id"), form.alias("form"), "disconti_allowed", "e_comp_ids", blank_to_null("gloss").alias("gloss")).where("ps_id is not null and e_id is not null")
     got = rows.groupBy("ps_id").agg(
         F.array_sort(F.collect_set("e_id")).alias("member_e_ids"),
-        F.array_sort(F.collect_list(F.struct("e_id", "form", "gloss"))).alias("own"),
+        F.array_sort(F.collect_set(F.struct("e_id", "form", "gloss"))).alias("own"),
         F.coalesce(F.bool_or("disconti_allowed"), F.lit(False)).alias("disconti_allowed"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("e_comp_ids", F.array().cast("array<string>")))))).alias("ps_comp_ids"),
     )
-    form = F.array_join(F.array_distinct(F.filter(F.transform("own", lambda x: x["form"]), lambda x: x.isNotNull())), "/")
-    gloss = F.array_join(F.transform(F.filter("own", lambda x: x["gloss"].isNotNull()), lambda x: F.regexp_replace(x["gloss"], r"\.+$", "")), "; ")
-    return got.select("ps_id", "member_e_ids", form.alias("canonical_form"), "disconti_allowed", "ps_comp_ids", gloss.alias("encoder_gloss"))
+    forms = F.transform("own", lambda x: x["form"])
+    bare = F.array_distinct(F.transform(forms, lambda x: trim_ws(F.regexp_replace(x, r"\d+$", ""))))
+    derived = F.when(F.size(bare) == 1, bare[0]).otherwise(F.array_join(forms, "/"))
+    gloss = F.array_join(F.filter(F.transform("own", lambda x: F.nullif(F.regexp_replace(x["gloss"], r"\.+$", ""), F.lit(""))), lambda x: x.isNotNull()), "; ")
+    made = got.select("ps_id", "member_e_ids", derived.alias("canonical_form"), "disconti_allowed", "ps_comp_ids", gloss.alias("encoder_gloss"))
+    if explicit is None:
+        return made
+    stated = explicit.select(blank_to_null("ps_id").alias("ps_id"), blank_to_null("canonical_form").alias("_form"), blank_to_null("gloss_intro").alias("_intro")).where("ps_id is not null").dropDuplicates(["ps_id"])
+    both = made.join(stated, "ps_id", "full_outer")
+    return both.select("ps_id", "member_e_ids", F.coalesce("_form", "canonical_form").alias("canonical_form"), "disconti_allowed", "ps_comp_ids", F.concat_ws(" ", "_intro", F.nullif(F.col("encoder_gloss"), F.lit(""))).alias("encoder_gloss"))
+
+
+#: The tables of a dictionary workbook and the columns that they must have.
+SHEETS = {
+    "items": ("e_id", "canonical_form", "group", "gloss"),
+    "rule_components": ("comp_surf", "comp_id", "is_required", "anchor_rank", "comp_order", "order_policy", "min_gap_to_next", "max_gap_to_next"),
+    "detect_rules": ("ruleset_id", "rule_id", "stage", "target", "pattern", "priority", "hard_fail"),
+}
+UNIT_IDS = ("unit_id", "ps_id", "e_id")
+MOST_ROWS = 200_000  # rows of a dictionary that may become one bundle
+
+
+def from_tables(items: DataFrame, components: DataFrame, rules: DataFrame, explicit: DataFrame | None = None) -> Bundle:
+    """A bundle of a dictionary's tables; lacking columns are an error. Rows of components and rules belong to the first of their ids that isn't blank."""
+    lacking = {name: required_columns(df, list(SHEETS[name])) for name, df in (("items", items), ("rule_components", components), ("detect_rules", rules))}
+    for name, df in (("rule_components", components), ("detect_rules", rules)):
+        if not set(UNIT_IDS) & set(df.columns):
+            lacking[name].append("/".join(UNIT_IDS))
+    if any(lacking.values()):
+        raise ValueError(f"columns lacking: { {k: v for k, v in lacking.items() if v} }")
+
+    def rows_of(df: DataFrame) -> list[dict[str, Any]]:
+        found = df.limit(MOST_ROWS + 1).collect()  # metadata: a dictionary is compiled on the driver
+        if len(found) > MOST_ROWS:
+            raise ValueError(f"over {MOST_ROWS} rows in a dictionary table")
+        return [{k: v if not isinstance(v, str) or v.strip() else None for k, v in r.asDict().items()} for r in found]
+
+    owner = lambda r: next((str(r[k]).strip() for k in UNIT_IDS if r.get(k)), "")
+    number = lambda v: None if v is None else int(float(v))
+    comps = [Component(owner(r), r["comp_id"], r["comp_surf"] or "", to_bool(r["is_required"], True), number(r["anchor_rank"]), number(r["comp_order"]), r["order_policy"] or "fx", number(r["min_gap_to_next"]), number(r["max_gap_to_next"]), r.get("bridge_id")) for r in rows_of(components)]
+    made = [Rule(owner(r), r["ruleset_id"], r["rule_id"], r["stage"], r["pattern"], r["target"] or "raw_sentence", number(r["priority"]) or 0, to_bool(r["hard_fail"]), r.get("component_id"), number(r.get("context_chars"))) for r in rows_of(rules)]
+    sets = unit_rulesets(items).select("unit_id", "detect_ruleset_ids") if "detect_ruleset_id" in items.columns else None
+    units = runtime_units(items)
+    units = units.join(sets, "unit_id", "left") if sets is not None else units.withColumn("detect_ruleset_ids", F.lit(None))
+    forms = polysets(items, explicit).select(F.col("ps_id").alias("unit_id"), F.col("canonical_form").alias("form"), F.col("encoder_gloss").alias("gloss"))
+    single = items.select(blank_to_null("e_id").alias("unit_id"), blank_to_null("canonical_form").alias("own_form")).dropDuplicates(["unit_id"])
+    wide = units.join(forms, "unit_id", "left").join(single, "unit_id", "left")
+    staged = {(r.ruleset_id, r.stage) for r in made}
+    out = []
+    for r in sorted(rows_of(wide), key=lambda r: r["unit_id"]):
+        ids = tuple(r["detect_ruleset_ids"] or ())
+        kind = "multi_member" if r["n_members"] > 1 else "single_member"
+        out.append(Unit(r["unit_id"], r["unit_type"], r["group"], tuple(r["member_e_ids"].split(";")), r["form"] or r["own_form"], r["gloss"], ids, tuple(k for k in ids if (k, "verify") in staged), kind))
+    return Bundle(out, made, comps)
 
 
 def runtime_units(items: DataFrame) -> DataFrame:

@@ -413,6 +413,36 @@ def bundle_rulesets(spark, sf_dir):
     return got.select("unit_id", F.array_join("detect_ruleset_ids", ",").alias("rulesets"))
 
 
+_POLY = f"p AS (SELECT coalesce(nullif({sql_trim('ps_id')}, ''), nullif({sql_trim('polyset_id')}, '')) AS ps, nullif({sql_trim('e_id')}, '') AS e FROM items)"
+
+
+@query(f"WITH {_POLY}, k AS (SELECT DISTINCT ps FROM p WHERE ps IS NOT NULL AND e IS NOT NULL), x AS (SELECT unit_id, canonical_form FROM runtime_units WHERE unit_type = 'polyset') SELECT coalesce(k.ps, x.unit_id) AS ps_id, x.canonical_form AS stated, k.ps IS NOT NULL AS derived, x.unit_id IS NOT NULL AS introduced FROM k FULL JOIN x ON x.unit_id = k.ps")
+def bundle_polysets_explicit(spark, sf_dir):
+    """Stated units win over derived ones, and their intro comes first."""
+    units = table(spark, sf_dir, "runtime_units").where("unit_type = 'polyset'").select(F.col("unit_id").alias("ps_id"), "canonical_form", F.lit("뜻:").alias("gloss_intro"))
+    got = B.polysets(table(spark, sf_dir, "items"), units).join(units.select("ps_id", F.col("canonical_form").alias("want")), "ps_id", "left")
+    stated = F.when(F.col("want") == F.col("canonical_form"), F.col("canonical_form"))
+    return got.select("ps_id", stated.alias("stated"), F.col("member_e_ids").isNotNull().alias("derived"), F.col("encoder_gloss").startswith("뜻:").alias("introduced"))
+
+
+@query(f"WITH {_IDS}, n AS (SELECT unit_id, count(DISTINCT e) AS members, string_agg(rs, ',' ORDER BY e) AS rulesets FROM r WHERE e IS NOT NULL GROUP BY 1) SELECT unit_id, CASE WHEN members > 1 THEN 'polyset' ELSE 'item' END AS unit_type, members, coalesce(rulesets, '') AS rulesets, 1 AS components, 'refused' AS lacking FROM n")
+def bundle_from_tables(spark, sf_dir):
+    """A bundle of a dictionary's tables: a component and a rule for every unit."""
+    items = table(spark, sf_dir, "items")
+    ids = items.where(blank_to_null("e_id").isNotNull()).select(B.unit_of("ps_id", "polyset_id", "e_id").alias("unit_id")).distinct()
+    text = lambda **cells: [F.lit(v).alias(k) for k, v in cells.items()]
+    comps = ids.select("unit_id", *text(comp_surf="적/것", comp_id="c1", is_required="Y", anchor_rank="", comp_order="1.0", order_policy="", min_gap_to_next="", max_gap_to_next="2"))
+    rules = ids.select("unit_id", F.concat(F.lit("rs_"), "unit_id").alias("ruleset_id"), F.concat(F.lit("r_"), "unit_id").alias("rule_id"), *text(stage="detect", target="", pattern="적", priority="", hard_fail=""))
+    made = B.from_tables(items, comps, rules)
+    try:
+        B.from_tables(items.drop("gloss"), comps, rules)
+        lacking = "accepted"
+    except ValueError:
+        lacking = "refused"
+    rows = [(u.unit_id, u.unit_type, len(u.member_e_ids), ",".join(u.detect_ruleset_ids), len(made.components_of(u.unit_id)), lacking) for u in made.units]
+    return spark.createDataFrame(rows, "unit_id string, unit_type string, members long, rulesets string, components int, lacking string")
+
+
 _BROKEN = [("duplicate_unit", "u"), ("unit_group", "g"), ("duplicate_rule", "r"), ("component_unit", "cx"), ("component_bridge", "cb"), ("component_order_policy", "cp"), ("rule_stage", "rs"), ("rule_target", "rt"), ("rule_component", "rc"), ("rule_context_chars", "rn"), ("rule_python_literal", "rl"), ("rule_pattern", "rp"), ("warn_verify_not_hard", "rv"), ("ruleset_mixed_stage", "mixed"), ("ruleset_missing", "gone"), ("ruleset_owner", "foreign"), ("warn_ruleset_unreferenced", "mixed"), ("warn_ruleset_unreferenced", "own")]
 
 
