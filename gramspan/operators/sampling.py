@@ -69,7 +69,7 @@ def prepare(lines: DataFrame, manifest: DataFrame, batch_index: int, seed: int)
     plan = wants.groupBy("batch_id_prefix", "domain").agg(F.sum("requested").alias("requested")).withColumn("rank_start", F.col("requested") * batch_index)  # a row per manifest and domain
     kept = ranked(lines, seed)
     on = (kept["corpus_domain"] == plan["domain"]) & (kept["sample_rank"] >= plan["rank_start"]) & (kept["sample_rank"] < plan["rank_start"] + plan["requested"])
-    records = kept.join(F.broadcast(plan), on).withColumn("batch_id", F.format_string("%s_batch_%03d", "batch_id_prefix", F.lit(batch_index)))
+    records = kept.join(F.broadcast(plan), on).withColumn("batch_id", F.format_string("%s_batch_%03d", "batch_id_prefix", F.lit(batch_index))).withColumn("place", F.col("sample_rank") - F.col("rank_start") + 1)
     got = records.groupBy("batch_id_prefix", "domain").agg(F.count(F.lit(1)).alias("n_selected"), F.min("sample_hash").alias("hash_min"), F.max("sample_hash").alias("hash_max"))
     report = F.broadcast(plan).join(got, ["batch_id_prefix", "domain"], "left").select("batch_id_prefix", "domain", "rank_start", "requested", F.coalesce("n_selected", F.lit(0)).alias("n_selected"), "hash_min", "hash_max")
     return records.drop("domain", "rank_start", "requested"), report

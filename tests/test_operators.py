@@ -241,3 +241,29 @@ def test_cli(capsys, tmp_path):
     save(Bundle([Unit("u", detect_ruleset_ids=("d",))], [Rule("u", "d", "r", "detect", "(")]), str(tmp_path / "b.json"))
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["nope"])
+
+
+def test_cli_runs(spark, tmp_path, capsys):
+    at = lambda name: str(tmp_path / name)
+    (tmp_path / "news.txt").write_text("sentence;source\n" + "".join(f"본 적 있다 {k};n{k}\n" for k in range(12)), "utf-8")
+    (tmp_path / "manifest.json").write_text(json.dumps({"batch_id_prefix": "m", "sampling": {"news": 5}}), "utf-8")
+    assert cli.main(["prepare-corpus", "--corpus", f"news={at('news.txt')}", "--manifest", at("manifest.json"), "--batch-index", "1", "--out", at("records")]) == 0
+    save(Bundle([Unit("u", "item", "a", ("u",), "적", None, ("d",))], [Rule("u", "d", "r", "detect", "적")]), at("b.json"))
+    save(Bundle([Unit("u", "item", "a", ("u",), "것", None, ("d",))], [Rule("u", "d", "r", "detect", "적")]), at("other.json"))
+    batch = ["run-batch", "--input", at("records") + "/*.json", "--bundle", at("b.json"), "--unit-id", "u"]
+    assert cli.main([*batch, "--expected", at("other.json"), "--out", at("no")]) == 1
+    assert cli.main([*batch, "--expected", at("b.json"), "--out", at("rows")]) == 0
+    rows = spark.read.parquet(at("rows"))
+    assert rows.count() == 5 and {r.text_id for r in rows.collect()} == {f"news_b001_{k:06d}" for k in range(1, 6)}
+    files.write_review(rows.withColumns({"human_label": F.lit("tp"), "span_status": F.lit("ok"), "origin_e_id": F.lit("u")}), at("review.csv"))
+    assert cli.main(["finalize-many", "--input", at("review.csv"), "--out", at("pairs"), "--min-tp", "0"]) == 0
+    assert cli.main(["merge", "--input", at("pairs"), "--out", at("merged")]) == 0
+    assert cli.main(["merge", "--input", at("pairs"), "--out", at("merged")]) == 2  # already there
+    assert cli.main(["import", "--base", at("pairs"), "--extra", at("merged"), "--out", at("all")]) == 0
+    assert spark.read.json(at("all")).count() == 5
+    assert cli.main(["run-corpus", "--input", at("records") + "/*.json", "--bundle", at("b.json"), "--unit-id", "u", "--quota", '{"news": 2}', "--backfill", "news", "--out", at("corpus")]) == 0
+    assert spark.read.parquet(at("corpus")).count() == 5
+    files.write_review(spark.createDataFrame([("한 적", "[[2,3]]"), ("x", "")], "sentence string, span_segments string"), at("gold.csv"))
+    assert cli.main(["gold-build", "--input", at("gold.csv"), "--unit-id", "u", "--out", at("gold"), "--expected", "1"]) == 0
+    assert cli.main(["gold-build", "--input", at("gold.csv"), "--unit-id", "u", "--out", at("gold2"), "--expected", "2"]) == 2
+    capsys.readouterr()
