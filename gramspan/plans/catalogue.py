@@ -296,7 +296,7 @@ def bundle_item_violations(spark, sf_dir):
     return B.item_violations(table(spark, sf_dir, "items"))
 
 
-@query(f"WITH {_ITEMS}, f AS (SELECT DISTINCT ps, id, coalesce(form, id) AS form, {sql_trim("regexp_replace(coalesce(form, id), '[0-9]+$', '')")} AS bare, disconti_allowed, nullif(regexp_replace(gloss, '\.+$', ''), '') AS gloss FROM i WHERE ps IS NOT NULL AND id IS NOT NULL) SELECT ps AS ps_id, count(DISTINCT id) AS members, CASE WHEN count(DISTINCT bare) = 1 THEN min(bare) ELSE string_agg(form, '/' ORDER BY id) END AS canonical_form, coalesce(bool_or(disconti_allowed), false) AS disconti_allowed, coalesce(string_agg(gloss, '; ' ORDER BY id), '') AS encoder_gloss FROM f GROUP BY 1")
+@query(f"WITH {_ITEMS}, f AS (SELECT DISTINCT ps, id, coalesce(form, id) AS form, {sql_trim("regexp_replace(coalesce(form, id), '[0-9]+$', '')")} AS bare, disconti_allowed, nullif(regexp_replace(gloss, '\\.+$', ''), '') AS gloss FROM i WHERE ps IS NOT NULL AND id IS NOT NULL) SELECT ps AS ps_id, count(DISTINCT id) AS members, CASE WHEN count(DISTINCT bare) = 1 THEN min(bare) ELSE string_agg(form, '/' ORDER BY id) END AS canonical_form, coalesce(bool_or(disconti_allowed), false) AS disconti_allowed, coalesce(string_agg(gloss, '; ' ORDER BY id), '') AS encoder_gloss FROM f GROUP BY 1")
 def bundle_polysets(spark, sf_dir):
     return longs(B.polysets(table(spark, sf_dir, "items")).select("ps_id", F.size("member_e_ids").alias("members"), "canonical_form", "disconti_allowed", "encoder_gloss"))
 
