@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from .textform import look
-from .tokens import VOCABULARY, count
+from .tokens import VOCABULARY, count, ship
 
 SAMPLE, BUCKETS, ITERATIONS, CLOSE, MOST_TARGETS, LONG = 20_000, 4096, 25, 1e-3, 10_000, 100  # labelled rows to fit on; hashed features; bounds of the fit; long: over a LONG-th of what fractions add up to
 TRUST, PARTS, HELD, TEMPERS = 0.999, 64, 4, (0.0, 0.01, 0.03, 0.1, 0.3, 1.0)  # a label is right; memberships in parts; one in HELD sample rows is held out; factors tried on the evidence
@@ -246,6 +246,7 @@ def mix(documents: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col
     empty = f"mix_id string, id {kind}, label int, tokens long, repeats long"
     if not targets.mixes:
         return spark.createDataFrame([], empty), targets
+    ship(spark, vocabulary)
     members = labelled(docs, targets, scratch, vocabulary=vocabulary, seed=seed)
     steps, n, mixes = fit(members, targets, scratch), len(targets.sources), targets.mixes
 

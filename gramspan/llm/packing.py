@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch
-from .tokens import VOCABULARY, count
+from .tokens import VOCABULARY, count, ship
 
 GROUP = 40_000  # items packed by one task
 MOST_KINDS = 1_000  # kinds of containers
@@ -92,6 +92,7 @@ def sizes_of(df: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCABU
 def pack(df: DataFrame, containers: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(container_kind, container, id, start_token, tokens): one row per item or piece; ``container`` is unique within its kind."""
     scratch = Scratch(df.sparkSession, "packing")
+    ship(df.sparkSession, vocabulary)
     sizes = scratch.keep(sizes_of(df, id_col, text_col, vocabulary).groupBy("id").agg(F.max("tokens").alias("tokens")).where("tokens > 0"), "sizes")
     groups = max(1, -(-sizes.count() // GROUP))
     kinds = containers.select(F.col("container_kind").alias("kind"), F.col("capacity_tokens").cast("long").alias("capacity")).where("kind is not null and capacity is not null").distinct()
