@@ -300,6 +300,18 @@ UNIT_IDS = ("unit_id", "ps_id", "e_id")
 MOST_ROWS = 200_000  # rows of a dictionary that may become one bundle
 
 
+def tidy_items(items: DataFrame) -> DataFrame:
+    """Items of a sheet or table with all columns that units are made from; truth values and id lists may be text."""
+    kinds = dict(items.dtypes)
+    truth = lambda c: F.lower(F.trim(F.col(c))).isin(*TRUE) | F.lower(F.trim(F.col(c))).isin(*[f"{x}.0" for x in TRUE])
+    split = lambda c: F.filter(F.transform(F.split(F.regexp_replace(F.col(c), r'[\\[\\]"]', ""), "[;,]"), lambda x: F.trim(x)), lambda x: x != "")
+    made = {c: F.lit(None).cast("string") for c in ("ps_id", "polyset_id") if c not in kinds}
+    for c, kind, read in (("disconti_allowed", "boolean", truth), ("e_comp_ids", "array<string>", split)):
+        if kinds.get(c) != kind:
+            made[c] = read(c) if c in kinds else F.lit(None).cast(kind)
+    return items.withColumns(made) if made else items
+
+
 def from_tables(items: DataFrame, components: DataFrame, rules: DataFrame, explicit: DataFrame | None = None) -> Bundle:
     """A bundle of a dictionary's tables; lacking columns are an error. Rows of components and rules belong to the first of their ids that isn't blank."""
     lacking = {name: required_columns(df, list(SHEETS[name])) for name, df in (("items", items), ("rule_components", components), ("detect_rules", rules))}
@@ -309,6 +321,8 @@ def from_tables(items: DataFrame, components: DataFrame, rules: DataFrame, expli
     if any(lacking.values()):
         raise ValueError(f"columns lacking: { {k: v for k, v in lacking.items() if v} }")
 
+    items = tidy_items(items)
+
     def rows_of(df: DataFrame) -> list[dict[str, Any]]:
         found = df.limit(MOST_ROWS + 1).collect()  # metadata: a dictionary is compiled on the driver
         if len(found) > MOST_ROWS:

@@ -103,6 +103,13 @@ def length_stats(rows: DataFrame, length: Column, most: int) -> DataFrame:
     return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("longest"), F.avg(length).alias("mean"), F.avg((length > most).cast("int")).alias("truncated"))
 
 
+def token_count(text: Column) -> Column:
+    """Words of a text: runs of characters that are no white space."""
+    from ..functions.textfn import WS
+
+    return F.size(F.filter(F.split(text, f"[{WS}]+"), lambda x: x != ""))
+
+
 def predicted(rows: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows with a logit get ``prob``, ``pred_label`` and the loss against ``gold_label``."""
     z = F.col("logit")

@@ -379,6 +379,39 @@ def output_guards(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, refused boolean")
 
 
+@query("SELECT (row_number() OVER (ORDER BY group_no, unit_id))::BIGINT AS place, unit_id AS caution_id, 'fp' AS label, 'caution_' || unit_id AS reason FROM (SELECT unit_id, CASE WHEN unit_type = 'polyset' THEN 1 ELSE 2 END AS group_no FROM runtime_units)")
+def caution_load(spark, sf_dir):
+    """Cautions of a file by priority, then id; a missing reason is made from the id."""
+    import json
+
+    rows = table(spark, sf_dir, "runtime_units").select("unit_id", "unit_type").collect()
+    at = folder(spark, "cautions") + "/cautions.json"
+    with open(at, "w", encoding="utf-8") as f:
+        json.dump({"item_id": "u", "cautions": [{"caution_id": r["unit_id"], "priority": 1 if r["unit_type"] == "polyset" else 2, "match": {"raw_text_regex": "x"}, "output": {"label": "fp"}} for r in reversed(rows)]}, f)
+    found = review.load_cautions(at, "u")
+    return spark.createDataFrame([(k + 1, c.caution_id, c.label, c.reason or f"caution_{c.caution_id}") for k, c in enumerate(found)], "place long, caution_id string, label string, reason string")
+
+
+@query(f"WITH {GOLD} SELECT example_id, sentence AS shown, len(target_spans)::INT AS n FROM gold WHERE NOT regexp_matches(sentence, '기 ?때문')")
+def gold_fn_sink(spark, sf_dir):
+    """Gold rows that a rule misses, written as JSON lines and read again."""
+    at = Scratch(spark, "misses").path("rows")
+    missed = evaluate.regex_outcome(gold_of(spark, sf_dir), _DUE, "sentence").where(~F.col("matched"))
+    missed.select("example_id", "sentence", "target_spans").write.json(at)
+    back = spark.read.schema("example_id string, sentence string, target_spans array<struct<start:int,end:int>>").json(at)
+    return back.select("example_id", F.col("sentence").alias("shown"), F.size("target_spans").alias("n"))
+
+
+@query(f"WITH {GOLD}, t AS (SELECT example_id, target_spans AS sp FROM gold) SELECT {_T('example_id')} AS example_id, len(sp) AS n, sp[1].start::INT AS s FROM t WHERE len(sp) > 0")
+def gold_sheet(spark, sf_dir):
+    """Gold rows as a sheet, read back with their spans."""
+    at = folder(spark, "gold") + "/gold.xlsx"
+    segs = evaluate.target_spans(F.col("target_spans"))
+    xlsx.write_sheet(gold_of(spark, sf_dir).where(F.size("target_spans") > 0).select("example_id", "sentence", P.format_spans(segs).alias("span_segments")), at, "gold")
+    back = xlsx.read_sheet(spark, at, "gold", ("example_id", "sentence", "span_segments")).withColumn("segs", P.parse_spans(F.col("span_segments")))
+    return back.select("example_id", F.size("segs").cast("long").alias("n"), F.col("segs")[0]["s"].alias("s"))
+
+
 # ---- bundles --------------------------------------------------------------------------------------------------
 
 
@@ -443,6 +476,20 @@ def bundle_from_tables(spark, sf_dir):
     return spark.createDataFrame(rows, "unit_id string, unit_type string, members long, rulesets string, components int, lacking string")
 
 
+@query(f"WITH {_IDS}, n AS (SELECT unit_id, count(DISTINCT e) AS members, string_agg(rs, ',' ORDER BY e) AS rulesets FROM r WHERE e IS NOT NULL GROUP BY 1) SELECT unit_id, CASE WHEN members > 1 THEN 'polyset' ELSE 'item' END AS unit_type, members, coalesce(rulesets, '') AS rulesets FROM n")
+def dictionary_workbook(spark, sf_dir):
+    """A dictionary workbook of three sheets, read into a bundle."""
+    at = folder(spark, "dictionary") + "/dictionary.xlsx"
+    items = table(spark, sf_dir, "items")
+    ids = items.where(blank_to_null("e_id").isNotNull()).select(B.unit_of("ps_id", "polyset_id", "e_id").alias("unit_id")).distinct()
+    text = lambda **cells: [F.lit(v).alias(k) for k, v in cells.items()]
+    comps = ids.select("unit_id", *text(comp_surf="적", comp_id="c1", is_required="Y", anchor_rank="", comp_order="1", order_policy="fx", min_gap_to_next="", max_gap_to_next=""))
+    rules = ids.select("unit_id", F.concat(F.lit("rs_"), "unit_id").alias("ruleset_id"), F.concat(F.lit("r_"), "unit_id").alias("rule_id"), *text(stage="detect", target="raw_sentence", pattern="적", priority="1", hard_fail="N"))
+    xlsx.write_book({"items": files.cells(items), "rule_components": comps, "detect_rules": rules}, at)
+    made = B.from_tables(*[xlsx.read_sheet(spark, at, name).drop("_row_no") for name in B.SHEETS])
+    return spark.createDataFrame([(u.unit_id, u.unit_type, len(u.member_e_ids), ",".join(u.detect_ruleset_ids)) for u in made.units], "unit_id string, unit_type string, members long, rulesets string")
+
+
 _BROKEN = [("duplicate_unit", "u"), ("unit_group", "g"), ("duplicate_rule", "r"), ("component_unit", "cx"), ("component_bridge", "cb"), ("component_order_policy", "cp"), ("rule_stage", "rs"), ("rule_target", "rt"), ("rule_component", "rc"), ("rule_context_chars", "rn"), ("rule_python_literal", "rl"), ("rule_pattern", "rp"), ("warn_verify_not_hard", "rv"), ("ruleset_mixed_stage", "mixed"), ("ruleset_missing", "gone"), ("ruleset_owner", "foreign"), ("warn_ruleset_unreferenced", "mixed"), ("warn_ruleset_unreferenced", "own")]
 
 
@@ -523,6 +570,17 @@ def prepare_records(spark, sf_dir):
     return got.groupBy("batch_id", "corpus_domain").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("raw_text")).alias("chars"))
 
 
+@query("WITH s AS (SELECT batch_id_prefix, unnest(sampling_schedules) AS s, generate_subscripts(sampling_schedules, 1) AS k FROM example_making_manifest), p AS (SELECT batch_id_prefix, s FROM s WHERE s.start_batch_index <= 3 AND coalesce(s.end_batch_index, 1000000) >= 3 QUALIFY row_number() OVER (PARTITION BY batch_id_prefix ORDER BY s.start_batch_index DESC, k DESC) = 1), e AS (SELECT batch_id_prefix, s, unnest(map_entries(s.sampling)) AS e FROM p) SELECT batch_id_prefix, e.key AS domain, 3 AS batch_index, (coalesce(s.rank_start_offsets[e.key], 0) + (3 - s.start_batch_index) * e.value)::BIGINT AS rank_start, e.value::BIGINT AS requested FROM e")
+def sample_batch_plan(spark, sf_dir):
+    """Ranks of the third batch of every manifest, by the schedule that holds for it."""
+    out = []
+    for m in table(spark, sf_dir, "example_making_manifest").select("batch_id_prefix", "sampling_schedules").collect():  # 12 rows
+        own = [sampling.Schedule(x["schedule_id"], x["start_batch_index"], x["end_batch_index"], x["sampling"] or {}, x["rank_start_offsets"] or {}) for x in m["sampling_schedules"] or []]
+        if sampling.pick_schedule(own, 3):
+            out += [(m["batch_id_prefix"], *row) for row in sampling.batch_plan(own, 3)]
+    return spark.createDataFrame(out, "batch_id_prefix string, domain string, batch_index int, rank_start long, requested long")
+
+
 _SHARDS = f"""WITH RECURSIVE {_RANKED}, v AS (SELECT count(*) FILTER (WHERE corpus_domain = 'daily_conversation') AS vd, count(*) FILTER (WHERE corpus_domain = 'news') AS vn, count(*) FILTER (WHERE corpus_domain = 'lecture_notes') AS vl FROM ranked),
 s AS (SELECT 0 AS k, 0::BIGINT AS cd, 0::BIGINT AS cn, 0::BIGINT AS cl, false AS xd, false AS xn, false AS xl FROM v
   UNION ALL SELECT k + 1, cd + gd, cn + gn, cl + gl, xd OR gd < wd, xn OR gn < wn, xl OR gl < wl FROM (SELECT *, least(wd, greatest(0, vd - cd)) AS gd, least(wn, greatest(0, vn - cn)) AS gn, least(wl, greatest(0, vl - cl)) AS gl FROM (SELECT s.*, v.*, CASE WHEN xd THEN 0 ELSE 500 + CASE WHEN xn THEN 200 ELSE 0 END + CASE WHEN xl THEN 3 ELSE 0 END END AS wd, CASE WHEN xn THEN 0 ELSE 200 END AS wn, CASE WHEN xl THEN 0 ELSE 3 END AS wl FROM s, v)) WHERE NOT xd AND k < 100),
@@ -764,6 +822,24 @@ def training_best_epoch(spark, sf_dir):
     return spark.createDataFrame([(k, *evaluate.best_epoch(v, **kw)) for k, (v, kw) in cases.items()], "name string, best int, last int")
 
 
+@query(f"WITH {GOLD}, t AS (SELECT coalesce(nullif({sql_trim('split')}, ''), 'none') AS split, len(regexp_extract_all(sentence, '[^{_SQLWS}]+')) AS n FROM gold) SELECT split, count(*) AS n, max(n) AS longest, round(avg(n), 6) AS mean, round(avg((n > 12)::INT), 6) AS truncated FROM t GROUP BY 1")
+def length_stats_tokens(spark, sf_dir):
+    rows = gold_of(spark, sf_dir).withColumn("split", F.coalesce(blank_to_null("split"), F.lit("none")))
+    got = evaluate.length_stats(rows, evaluate.token_count(F.col("sentence")), 12)
+    return longs(got.select("split", "n", "longest", F.round("mean", 6).alias("mean"), F.round("truncated", 6).alias("truncated")))
+
+
+@query("SELECT unit_id, CASE WHEN unit_type = 'polyset' THEN 'blocked' ELSE 'ok' END AS status, len(member_e_ids) AS tp, CASE WHEN unit_type = 'polyset' THEN 'gold recall under 1' ELSE '' END AS reason FROM runtime_units")
+def run_summaries(spark, sf_dir):
+    """The fixed fields of each run's report."""
+    out = []
+    for r in table(spark, sf_dir, "runtime_units").select("unit_id", "unit_type", "member_e_ids").collect():
+        many = r["unit_type"] == "polyset"
+        got = pipeline.run_summary(pipeline.Report("blocked" if many else "ok", {"summary": {"tp": len(r["member_e_ids"])}}, "gold recall under 1" if many else ""))
+        out.append((r["unit_id"], got["status"], got["tp"], got["reason"]))
+    return spark.createDataFrame(out, "unit_id string, status string, tp long, reason string")
+
+
 @query(f"WITH {E} SELECT count(*) AS total, least(100, count(*)) AS saved FROM dd")
 def prediction_sink(spark, sf_dir):
     """Metrics of all predictions, of which a hundred are written."""

@@ -118,28 +118,38 @@ def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, require
 
 def write_sheet(df: DataFrame, path: str, sheet: str = "Sheet1", color_by: str | None = None) -> None:
     """One sheet with a filled header, frozen first row, widths, and rows filled by the value of ``color_by``."""
-    rows = df.limit(MOST_ROWS).collect() if df.sparkSession else []
+    write_book({sheet: df}, path, color_by)
+
+
+def _sheet_xml(df: DataFrame, color_by: str | None, main: str) -> str:
+    rows = df.limit(MOST_ROWS).collect()
     if len(rows) >= MOST_ROWS:
         raise ValueError(f"a sheet holds fewer than {MOST_ROWS} rows; write the table as Parquet or CSV")
-    fills = ["", "", *FILLS.values()]
     style = {k: i + 1 for i, k in enumerate(FILLS)}
-    cell = lambda k, n, v, s: f'<c r="{column_name(k)}{n}" t="inlineStr" s="{s}"><is><t xml:space="preserve">{escape(re.sub(r"[^\x09\x0a\x0d\x20-퟿-\U0010ffff]", "", v))}</t></is></c>'
+    cell = lambda k, n, v, s: f'<c r="{column_name(k)}{n}" t="inlineStr" s="{s}"><is><t xml:space="preserve">{escape(re.sub(r"[^\x09\x0a\x0d\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]", "", v))}</t></is></c>'
     body = [f'<row r="1">{"".join(cell(k, 1, c, style["header"]) for k, c in enumerate(df.columns))}</row>']
     for n, r in enumerate(rows, 2):
         s = style.get(str(r[color_by]), 0) if color_by else 0
         body.append(f'<row r="{n}">{"".join(cell(k, n, "" if v is None else str(v), s) for k, v in enumerate(r))}</row>')
     widths = "".join(f'<col min="{k + 1}" max="{k + 1}" width="{min(60, max(10, len(c) + 4))}" customWidth="1"/>' for k, c in enumerate(df.columns))
+    return f'<worksheet {main}><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" activePane="bottomLeft" state="frozen"/></sheetView></sheetViews><cols>{widths}</cols><sheetData>{"".join(body)}</sheetData></worksheet>'
+
+
+def write_book(sheets: dict[str, DataFrame], path: str, color_by: str | None = None) -> None:
+    """A workbook of several sheets, each as ``write_sheet`` makes it."""
+    fills = ["", "", *FILLS.values()]
     main, ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', "http://schemas.openxmlformats.org"
     solid = "".join(f'<fill><patternFill patternType="solid"><fgColor rgb="FF{f}"/></patternFill></fill>' for f in fills[2:])
     xfs = "".join(f'<xf fillId="{k + 2}" applyFill="1"/>' for k in range(len(FILLS)))
+    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    of = [f"sheet{k + 1}" for k in range(len(sheets))]
     parts = {
-        "[Content_Types].xml": f'<Types xmlns="{ns}/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/></Types>',
+        "[Content_Types].xml": f'<Types xmlns="{ns}/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{kind}.styles+xml"/>{"".join(f'<Override PartName="/xl/worksheets/{x}.xml" ContentType="{kind}.worksheet+xml"/>' for x in of)}</Types>',
         "_rels/.rels": f'<Relationships xmlns="{ns}/package/2006/relationships"><Relationship Id="rId1" Type="{ns}/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook {main} xmlns:r="{ns}/officeDocument/2006/relationships"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{ns}/package/2006/relationships"><Relationship Id="rId1" Type="{ns}/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/><Relationship Id="rId2" Type="{ns}/officeDocument/2006/relationships/styles" Target="styles.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook {main} xmlns:r="{ns}/officeDocument/2006/relationships"><sheets>{"".join(f'<sheet name="{escape(name)}" sheetId="{k + 1}" r:id="rId{k + 1}"/>' for k, name in enumerate(sheets))}</sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{ns}/package/2006/relationships">{"".join(f'<Relationship Id="rId{k + 1}" Type="{ns}/officeDocument/2006/relationships/worksheet" Target="worksheets/{x}.xml"/>' for k, x in enumerate(of))}<Relationship Id="rId{len(of) + 1}" Type="{ns}/officeDocument/2006/relationships/styles" Target="styles.xml"/></Relationships>',
         "xl/styles.xml": f'<styleSheet {main}><fonts count="1"><font/></fonts><fills count="{len(FILLS) + 2}"><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill>{solid}</fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="{len(FILLS) + 1}"><xf/>{xfs}</cellXfs></styleSheet>',
-        "xl/worksheets/sheet1.xml": f'<worksheet {main}><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" activePane="bottomLeft" state="frozen"/></sheetView></sheetViews><cols>{widths}</cols><sheetData>{"".join(body)}</sheetData></worksheet>',
-    }
+    } | {f"xl/worksheets/{x}.xml": _sheet_xml(df, color_by, main) for x, df in zip(of, sheets.values())}
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for name, text in parts.items():
             z.writestr(name, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' + text)
