@@ -211,7 +211,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that need neither NFKC nor an iterative or random method."""
-    return {"p6_found": _P6}
+    return {"p6_found": _P6, "p7_found": _P7}
 
 
 _TRIM = r"lower(regexp_replace({}, '^[\s\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+|[\s\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+$', '', 'g'))"
@@ -227,3 +227,16 @@ SELECT w.batch_id_prefix, w.schedule_id, w.d AS corpus_domain
 FROM wants w LEFT JOIN skips k USING (batch_id_prefix, schedule_id, d) LEFT JOIN sizes z USING (d)
 WHERE w.d <> '' AND coalesce(z.n, 0) < w.n + coalesce(k.o, 0)
 """
+
+# Components by reachability over the keys of records: e for sources, x for texts, r for the record itself.
+_P7 = f"""
+WITH RECURSIVE g AS (SELECT DISTINCT example_id AS id, nullif({_TRIM.format("source_e_id")}, '') AS e, nullif(source_example_id, '') AS x, {_TRIM.format("split")} AS s FROM df003_gold_50 WHERE example_id IS NOT NULL),
+r AS (SELECT id, e, x, CASE WHEN s IN ('train', 'training') THEN 'train' WHEN s IN ('dev', 'val', 'valid', 'validation') THEN 'dev' WHEN s = 'test' THEN 'test' END AS split FROM g),
+k AS (SELECT id, 'e' || e AS k FROM r WHERE e IS NOT NULL UNION SELECT id, 'x' || x FROM r WHERE x IS NOT NULL UNION SELECT id, 'r' || id FROM r),
+link AS (SELECT DISTINCT a.k AS a, b.k AS b FROM k a JOIN k b USING (id)),
+reach AS (SELECT k AS a, k AS b FROM k UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+root AS (SELECT substring(a, 2) AS id, min(b) AS root FROM reach WHERE a LIKE 'r%' GROUP BY 1),
+named AS (SELECT root.id, root, CASE WHEN root LIKE 'e%' THEN substring(root, 2) ELSE min(root.id) OVER (PARTITION BY root) END AS group_key FROM root),
+torn AS (SELECT root FROM named JOIN r USING (id) GROUP BY 1 HAVING count(DISTINCT split) > 1)
+SELECT id AS example_id, group_key FROM named WHERE root IN (SELECT root FROM torn)
+"""
