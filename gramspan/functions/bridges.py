@@ -30,13 +30,18 @@ def first_of_each(spans: Column) -> Column:
     return F.array_distinct(spans)
 
 
+#: The patterns of the three bridges, here and in the functions below.
+ADNOMINAL, THING = "[ㄴᆫ]|은", "[것거게건걸]"
+NDE = r"(?:은|는|ㄴ|ᆫ)\s*데(?:요)?|(?:은데|는데|인데|운데)(?:요)?"
+
+
 def _adnominal(window: Column, options: list[str]) -> Column:
-    return first_of_each(F.concat(finditer_spans(window, "[ㄴᆫ]|은"), finditer_spans(window, final_class("ㄴ"))))
+    return first_of_each(F.concat(finditer_spans(window, ADNOMINAL), finditer_spans(window, final_class("ㄴ"))))
 
 
 def _nde(window: Column, options: list[str]) -> Column:
     polite = any(o.endswith("요") for o in options)
-    loose = finditer_spans(window, r"(?:은|는|ㄴ|ᆫ)\s*데(?:요)?|(?:은데|는데|인데|운데)(?:요)?")
+    loose = finditer_spans(window, NDE)
     if not polite:
         loose = F.transform(loose, lambda x: span(x["s"], x["e"] - F.when(cut(window, x["e"] - 1, x["e"]) == "요", 1).otherwise(0)))
     # A syllable ending in ㄴ before 데, over at most one plain blank; each syllable starts its own match.
@@ -50,7 +55,7 @@ def _nde(window: Column, options: list[str]) -> Column:
 
 
 def _thing(window: Column, options: list[str]) -> Column:
-    return finditer_spans(window, "[것거게건걸]")
+    return finditer_spans(window, THING)
 
 
 BRIDGES = {
