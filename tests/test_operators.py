@@ -73,6 +73,19 @@ def test_xlsx_round_trip(spark, tmp_path):
         files.read_review(spark, at, ("nope",))
 
 
+def test_xlsx_goes_on_in_further_sheets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(xlsx, "MOST_ROWS", 4)
+    monkeypatch.setattr(xlsx, "AT_ONCE", 3)
+    df = spark.range(11, numPartitions=3).select(F.concat(F.lit("r"), "id").alias("id"), F.lit(None).alias("none"), (F.col("id") / 2).alias("half"))
+    at = str(tmp_path / "r.xlsx")
+    xlsx.write_book({"it's": df, "it's 2": df.limit(2), "whole": df.limit(4), "none": df.limit(0)}, at)
+    assert xlsx.sheet_parts(at) == ["it's", "it's 3", "it's 4"] and xlsx.sheet_parts(at, "it's 2") == ["it's 2"] and xlsx.sheet_parts(at, "whole") == ["whole"]
+    got = xlsx.read_sheet(spark, at).orderBy("_row_no").collect()
+    assert [tuple(r)[1:] for r in got] == [(f"r{k}", "", str(k / 2)) for k in range(11)] and len({r._row_no for r in got}) == 11
+    assert [xlsx.read_sheet(spark, at, name).count() for name in ("it's 2", "whole", "none", "it's 4")] == [2, 4, 0, 3]
+    assert [p.name for p in tmp_path.iterdir()] == ["r.xlsx"]
+
+
 def test_csv_round_trip_and_guards(spark, tmp_path):
     df = spark.createDataFrame([('q"uo', "줄1\n줄2", [1, 2])], "a string, b string, c array<int>")
     at = str(tmp_path / "r.csv")
